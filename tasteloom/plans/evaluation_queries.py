@@ -43,7 +43,9 @@ FROM ({user_scores_sql(recs, ks)})"""
 
 
 def rounded(df):
-    return df.select(*(r6(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    """Doubles to six digits; retrieval scores are already rounded to nine."""
+    exact = ("score", "retriever_score")
+    return df.select(*(r6(c) if t == "double" and c not in exact else F.col(c) for c, t in df.dtypes))
 
 
 def _draw(expr: str) -> str:

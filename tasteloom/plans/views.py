@@ -4,7 +4,7 @@ from tasteloom.plans.registry import view
 
 view("interactions", """
 SELECT o_custkey AS user_id, l_partkey AS item_id,
-       CAST(1 + floor((l_quantity - 1) / 10) AS DOUBLE) AS rating, epoch_ms(o_orderdate) AS ts
+       CAST(1 + floor((l_quantity - 1) / 10) AS DOUBLE) AS rating, epoch_us(o_orderdate) // 1000 AS ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 view("items", """
 SELECT p_partkey AS item_id, p_name AS title,
@@ -37,7 +37,7 @@ SELECT * FROM (
 WHERE rank <= 50""")
 view("raw_events", """
 SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, event_type, value,
-       epoch_ms(ts) AS ts
+       epoch_us(ts) // 1000 AS ts
 FROM events""")
 view("live_events", """
 SELECT event_id, user_id, item_id,
