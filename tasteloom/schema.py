@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType()),
+    "array<float>": T.ArrayType(T.FloatType()), "map<string,double>": T.MapType(T.StringType(), T.DoubleType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Nullable columns from "name type, name type"; needs no running session."""
+    fields = (part.split(maxsplit=1) for part in spec.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 RAW_REVIEWS = _struct("user_id string, parent_asin string, rating double, timestamp bigint")
