@@ -42,8 +42,9 @@ def sum_vectors(vec: Column | str, dim: int) -> Column:
 
 
 def mean_vectors(vec: Column | str, dim: int) -> Column:
-    v = F.col(vec) if isinstance(vec, str) else vec
-    return F.array(*(F.avg(v[i].cast("double")) for i in range(dim)))
+    """Element-wise mean: sums share one count, which keeps the aggregation buffer small."""
+    total, count = sum_vectors(vec, dim), F.count(vec)
+    return F.transform(total, lambda x: x / count)
 
 
 def append_constant(vec: Column | str, value: Column | float) -> Column:

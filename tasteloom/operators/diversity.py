@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteloom.config import DEFAULTS
@@ -59,24 +59,29 @@ def mmr_rerank(candidates: DataFrame, vectors: DataFrame, k: int, lambdas: Seque
     known = candidates.select("user_id", "item_id", "rank", F.col("score").cast("double").alias("score")).join(
         vectors.select("item_id", "vec"), "item_id"
     )
-    packed = pack_lists(known, "user_id", "rank", ["item_id", "score", "vec"])
+    packed = pack_lists(known, "user_id", "rank", ["item_id", "score", "vec"]).withColumn("vec", F.flatten("vec"))
     levels = [float(x) for x in lambdas]
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for row in batch.itertuples(index=False):
-                v = np.stack(row.vec).astype(np.float64)
-                v /= np.linalg.norm(v, axis=1, keepdims=True) + 1e-9
-                rel, items = np.asarray(row.score, float), np.asarray(row.item_id)
+            if not len(batch):
+                continue
+            items, scores, sizes = [], [], []
+            for ids, rel, flat in zip(batch["item_id"], batch["score"], batch["vec"]):
+                v = np.asarray(flat, np.float64).reshape(len(rel), -1)
+                v = v / (np.linalg.norm(v, axis=1, keepdims=True) + 1e-9)
                 for lam in levels:
                     picks = mmr_order(rel, v, k, lam)
-                    parts.append(pd.DataFrame({
-                        "user_id": row.user_id, "lambda": lam, "item_id": items[picks],
-                        "rank": np.arange(1, len(picks) + 1), "score": rel[picks],
-                    }))
-            if parts:
-                yield pd.concat(parts)
+                    items.append(ids[picks])
+                    scores.append(rel[picks])
+                    sizes.append(len(picks))
+            yield pd.DataFrame({
+                "user_id": np.repeat(np.repeat(batch["user_id"].to_numpy(), len(levels)), sizes),
+                "lambda": np.repeat(np.tile(levels, len(batch)), sizes),
+                "item_id": np.concatenate(items),
+                "rank": np.concatenate([np.arange(1, n + 1) for n in sizes]),
+                "score": np.concatenate(scores),
+            })
 
     kinds = dict(candidates.dtypes)
     picked = packed.mapInPandas(
@@ -125,6 +130,11 @@ def mmr_sweep(candidates: DataFrame, vectors: DataFrame, truth: DataFrame, catal
     return table.join(similarity, "lambda", "left")
 
 
+def race_key(rank: Column, seed: int, temperature: float, half_life: float, *keys: Column | str) -> Column:
+    weight = F.exp(-(rank - 1) / F.lit(max(temperature * half_life, 1e-6)))
+    return F.round(-F.log(draw_unit(seed, *keys)) / weight, _DIGITS)
+
+
 def temperature_sample(lists: DataFrame, n: int, temperature: float = 1.0, seed: int = DEFAULTS.seed,
                        half_life: float = 40.0, user: str = "user_id") -> DataFrame:
     """Seeded weighted sample without replacement, output in rank order.
@@ -135,8 +145,7 @@ def temperature_sample(lists: DataFrame, n: int, temperature: float = 1.0, seed:
     by_rank = Window.partitionBy(user).orderBy("rank")
     if temperature <= 0:
         return lists.where(F.col("rank") <= n)
-    weight = F.exp(-(F.col("rank") - 1) / F.lit(max(temperature * half_life, 1e-6)))
-    keyed = lists.withColumn("_key", F.round(-F.log(draw_unit(seed, user, "item_id")) / weight, _DIGITS))
+    keyed = lists.withColumn("_key", race_key(F.col("rank"), seed, temperature, half_life, user, "item_id"))
     chosen = first_per_group(keyed, [user], ["_key", "rank"], n).drop("_key")
     return chosen.withColumn("rank", F.row_number().over(by_rank))
 
@@ -182,11 +191,11 @@ def popular_pool(head: DataFrame, n: int) -> DataFrame:
 
 
 def popular_feed(users: DataFrame, head: DataFrame, vectors: DataFrame, n: int, temperature: float = 1.0,
-                 seed: int = DEFAULTS.seed, mmr_lambda: float = 1.0) -> DataFrame:
+                 seed: int = DEFAULTS.seed, mmr_lambda: float = 1.0, half_life: float = 40.0) -> DataFrame:
     """Popularity feed per user: pool, optional MMR (once, the pool is shared), sample.
 
     The pool has max(3n, 60) rows whatever the data, so each user carries it as one
-    literal-sized array instead of a join.
+    small array and draws from it inside the row: no shuffle after ``users``.
     """
     pool = popular_pool(head, n).withColumn("user_id", F.lit(0))
     if mmr_lambda < 0.999:
@@ -196,9 +205,17 @@ def popular_feed(users: DataFrame, head: DataFrame, vectors: DataFrame, n: int,
     lists = (
         users.select("user_id").distinct().withColumn("_one", F.lit(1))
         .join(F.broadcast(packed.withColumn("_one", F.lit(1))), "_one")  # single row
-        .select("user_id", F.inline("_pool"))
     )
-    return temperature_sample(lists, n, temperature, seed)
+    chosen = F.slice("_pool", 1, n)
+    if temperature > 0:
+        def keyed(p: Column) -> Column:
+            return F.struct(race_key(p["rank"], seed, temperature, half_life, "user_id", p["item_id"]).alias("key"), p["rank"], p["item_id"])
+
+        raced = F.slice(F.array_sort(F.transform("_pool", keyed)), 1, n)
+        chosen = F.array_sort(F.transform(raced, lambda p: F.struct(p["rank"], p["item_id"])))
+    return lists.select("user_id", F.posexplode(chosen).alias("_n", "_p")).select(
+        "user_id", F.col("_p.item_id").alias("item_id"), (F.col("_n") + 1).alias("rank")
+    )
 
 
 def similar_guarded(seeds: DataFrame, similar: DataFrame, items: DataFrame, fallback: DataFrame,

@@ -115,14 +115,15 @@ class _Target:
 _BINS = 1 << 14
 
 
-def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> list[int]:
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int],
+                     bounds: tuple[int, int] | None = None) -> list[int]:
     """Exact values at 0-based ranks of an integer column, by histogram refinement.
 
     Every pass is one partially aggregated histogram of at most ``_BINS`` bins per
     open interval; the driver sees only bin counts. Nothing is sorted.
     """
     data = df.select(F.col(column).cast("bigint").alias("v")).where(F.col("v").isNotNull())
-    low, high = data.agg(F.min("v"), F.max("v")).first()
+    low, high = bounds or data.agg(F.min("v"), F.max("v")).first()
     if low is None:
         raise ValueError(f"no values in {column}")
     targets = [_Target(low, high, int(r)) for r in ranks]
@@ -161,12 +162,12 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> list[i
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:
     """Linear-interpolated quantiles of an integer column, exact at any size."""
-    n = df.where(F.col(column).isNotNull()).count()
+    n, low, high = df.agg(F.count(column), F.min(column), F.max(column)).first()
     if n == 0:
         raise ValueError(f"no values in {column}")
     places = [p * (n - 1) for p in probabilities]
     ranks = [r for p in places for r in (int(p), min(int(p) + 1, n - 1))]
-    found = order_statistics(df, column, ranks)
+    found = order_statistics(df, column, ranks, (low, high))
     out = []
     for k, p in enumerate(places):
         lo, hi = found[2 * k], found[2 * k + 1]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tasteloom.config import DEFAULTS
 from tasteloom.functions.seeded import draw_int
 from tasteloom.operators.ordering import first_per_group, global_index
+from tasteloom.session import write_stage
 
 _STRIDE = 2**31 - 1  # a prime, so stepping by it visits every code of a catalog once
 
@@ -39,7 +40,8 @@ def popularity_recommend(
     Users x items is never formed. Each user carries only the ranks they have seen
     inside a head of ``n + head`` items; the answer is the head minus those ranks.
     The few users who have seen so much of the head that ``n`` may not
-    remain are solved exactly on deeper ranks, spread by (user, rank).
+    remain are solved exactly on deeper ranks, spread by (user, rank). ``seen`` may
+    hold repeated pairs: it is filtered by the head before anything is shuffled.
     """
     size = n + head
     ranked = ranking.select("item_id", "pop_rank")
@@ -51,7 +53,9 @@ def popularity_recommend(
         .agg(F.collect_set("pop_rank").alias("_seen"))  # at most `size` values
     )
     none = F.array().cast("array<bigint>")
-    state = wanted.join(seen_top, "user_id", "left").withColumn("_seen", F.coalesce("_seen", none))
+    state = write_stage(
+        wanted.join(seen_top, "user_id", "left").withColumn("_seen", F.coalesce("_seen", none)), "seen_head"
+    )
     fits = F.size("_seen") + n <= size
     needed = F.sequence(F.lit(1).cast("bigint"), (F.size("_seen") + n).cast("bigint"))
     ready = state.where(fits).withColumn("_free", F.array_except(needed, F.col("_seen")))
@@ -62,7 +66,9 @@ def popularity_recommend(
     )
 
     deep_users = state.where(~fits).select("user_id")
-    deep_seen = seen.join(deep_users, "user_id", "left_semi").join(ranked, "item_id")
+    if deep_users.isEmpty():
+        return shallow
+    deep_seen = seen.join(deep_users, "user_id", "left_semi").select("user_id", "item_id").distinct().join(ranked, "item_id")
     need = deep_seen.groupBy("user_id").agg((F.count("*") + n).alias("_upto"))
     catalog = ranking.agg(F.max("pop_rank").alias("_items")).withColumn("_one", F.lit(1))
     ranks = (

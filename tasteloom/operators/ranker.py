@@ -64,12 +64,15 @@ def lambda_gradients(rows: DataFrame, score: str = "score") -> DataFrame:
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for user, items, s, labels in zip(batch["user_id"], batch["item_id"], batch[score], batch["label"]):
-                grad, hess = list_gradients(np.asarray(s, float), np.asarray(labels))
-                parts.append(pd.DataFrame({"user_id": user, "item_id": items, "lambda": grad, "weight": hess}))
-            if parts:
-                yield pd.concat(parts)
+            if not len(batch):
+                continue
+            out = [list_gradients(np.asarray(s, float), np.asarray(y)) for s, y in zip(batch[score], batch["label"])]
+            yield pd.DataFrame({
+                "user_id": np.repeat(batch["user_id"].to_numpy(), [len(g) for g, _h in out]),
+                "item_id": np.concatenate(batch["item_id"].to_list()),
+                "lambda": np.concatenate([g for g, _h in out]),
+                "weight": np.concatenate([h for _g, h in out]),
+            })
 
     kinds = dict(rows.dtypes)
     return packed.mapInPandas(
@@ -173,20 +176,22 @@ def _round_rows(packed: DataFrame, trees: list[Tree], kinds: dict[str, str]) ->
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for row in batch.itertuples(index=False):
-                x = np.stack(row.x)
-                base, labels = np.asarray(row.base, float), np.asarray(row.label)
-                s = base + sum((t.predict(x) for t in shared.value), np.zeros(len(x)))
-                grad, hess = list_gradients(s, labels)
-                ndcg = np.full(len(s), np.nan)
-                ndcg[0] = list_ndcg(s, labels)
-                parts.append(pd.DataFrame({
-                    "part": row.part, "user_id": row.user_id, "item_id": row.item_id, "x": list(x),
-                    "label": labels, "score": s, "lambda": grad, "weight": hess, "ndcg": ndcg,
-                }))
-            if parts:
-                yield pd.concat(parts)
+            if not len(batch):
+                continue
+            sizes = batch["label"].map(len).to_numpy()
+            ends = np.cumsum(sizes)
+            x = np.concatenate(batch["x"].to_list()).reshape(ends[-1], -1)
+            labels = np.concatenate(batch["label"].to_list())
+            s = np.concatenate(batch["base"].to_list()) + sum((t.predict(x) for t in shared.value), np.zeros(len(x)))
+            grad, hess, ndcg = np.zeros(len(s)), np.zeros(len(s)), np.full(len(s), np.nan)
+            for start, end in zip(ends - sizes, ends):
+                grad[start:end], hess[start:end] = list_gradients(s[start:end], labels[start:end])
+                ndcg[start] = list_ndcg(s[start:end], labels[start:end])
+            yield pd.DataFrame({
+                "part": np.repeat(batch["part"].to_numpy(), sizes), "user_id": np.repeat(batch["user_id"].to_numpy(), sizes),
+                "item_id": np.concatenate(batch["item_id"].to_list()), "x": list(x),
+                "label": labels, "score": s, "lambda": grad, "weight": hess, "ndcg": ndcg,
+            })
 
     return packed.mapInPandas(
         kernel,
@@ -199,7 +204,7 @@ def _pack(rows: DataFrame, base: str) -> DataFrame:
     # the part is a property of the user, so it rides in the grouping key
     keyed = rows.withColumn("_key", F.struct("user_id", "part"))
     packed = pack_lists(keyed, "_key", "item_id", ["x", "label", base])
-    return packed.select("_key.user_id", "_key.part", "item_id", "x", "label", F.col(base).alias("base"))
+    return packed.select("_key.user_id", "_key.part", "item_id", F.flatten("x").alias("x"), "label", F.col(base).alias("base"))
 
 
 def lambdamart_fit(

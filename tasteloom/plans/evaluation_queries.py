@@ -66,7 +66,7 @@ WHERE rank <= 50""")
 def popularity_lists(w, n=50):
     truth = S.ground_truth(w.test)
     ranking = B.popularity_rank(w.train)
-    return B.popularity_recommend(truth.select("user_id"), ranking, S.seen_items(w.train), n), truth
+    return B.popularity_recommend(truth.select("user_id"), ranking, w.train.select("user_id", "item_id"), n), truth
 
 
 def catalog_size(w) -> int:

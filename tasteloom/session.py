@@ -11,6 +11,8 @@ _RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # list-wise kernels do much work per byte: do not merge small partitions into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.functions.scalars import event_rating
 from tasteloom.operators import splitting
-from tasteloom.session import configure
+from tasteloom.session import configure, write_stage
 
 EVENT_KINDS = {"view": "view", "purchase": "purchase", "click": "cart", "signup": "like", "error": "wishlist"}
 CART_ACTIONS = {"click": "add", "signup": "set", "error": "remove", "purchase": "checkout"}
@@ -64,25 +64,31 @@ class Warehouse:
         return self.table("embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vec"))
 
     # ------------------------------------------------------------- time split
+    @cached_property
+    def frozen(self) -> DataFrame:
+        """The interactions as narrow files: joined once, then scanned by every step of
+        the protocol with pruned columns and pushed-down time filters."""
+        return write_stage(self.interactions, "interactions")
+
     @cached_property
     def cuts(self) -> tuple[float, float]:
-        return splitting.split_cuts(self.interactions)
+        return splitting.split_cuts(self.frozen)
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return splitting.label_split(self.interactions, self.cuts)
+        return splitting.label_split(self.frozen, self.cuts)
 
     @property
     def train(self) -> DataFrame:
-        return self.interactions.where(F.col("ts") < self.cuts[0])
+        return self.frozen.where(F.col("ts") < self.cuts[0])
 
     @property
     def val(self) -> DataFrame:
-        return self.interactions.where((F.col("ts") >= self.cuts[0]) & (F.col("ts") < self.cuts[1]))
+        return self.frozen.where((F.col("ts") >= self.cuts[0]) & (F.col("ts") < self.cuts[1]))
 
     @property
     def test(self) -> DataFrame:
-        return self.interactions.where(F.col("ts") >= self.cuts[1])
+        return self.frozen.where(F.col("ts") >= self.cuts[1])
 
     # ------------------------------------------------------------- behaviour
     @cached_property

@@ -65,6 +65,7 @@ def session(cpus: int = 8):
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("tasteloom-check")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
