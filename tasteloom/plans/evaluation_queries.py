@@ -43,9 +43,12 @@ FROM ({user_scores_sql(recs, ks)})"""
 
 
 def rounded(df):
-    """Doubles to six digits; retrieval scores are already rounded to nine."""
-    exact = ("score", "retriever_score")
-    return df.select(*(r6(c) if t == "double" and c not in exact else F.col(c) for c, t in df.dtypes))
+    """Doubles to six digits. Retrieval scores are already rounded to nine; price means get
+    eight, because sums of tenths over a few dozen rows often end in an exact half at six."""
+    exact, fine = ("score", "retriever_score"), ("user_avg_price", "price_gap")
+    return df.select(*(
+        F.col(c) if t != "double" or c in exact else F.round(c, 8 if c in fine else 6).alias(c) for c, t in df.dtypes
+    ))
 
 
 def _draw(expr: str) -> str:

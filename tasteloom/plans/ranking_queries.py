@@ -43,7 +43,7 @@ SELECT p.user_id, p.item_id, retriever_score,
   round((g.now - coalesce(user_last_ts, g.now)) / 8.64e7, 6) AS days_since_user_last,
   coalesce((user_top_cat = item_cat)::INT, 0)::DOUBLE AS cat_match,
   coalesce((user_top_brand = item_brand)::INT, 0)::DOUBLE AS brand_match,
-  round(coalesce(abs(item_price - user_avg_price), 0), 6) AS price_gap,
+  round(coalesce(abs(item_price - user_avg_price), 0), 8) AS price_gap,
   round(coalesce(item_avg_rating, g.mean) - coalesce(user_avg_rating, g.mean), 6) AS rating_vs_user_mean
 FROM pairs p LEFT JOIN item_features i ON i.item_id = p.item_id LEFT JOIN user_features u ON u.user_id = p.user_id,
      (SELECT avg(rating) AS mean, max(ts) AS now FROM train) g""")
@@ -104,7 +104,7 @@ _user_stat("user_avg_rating", "user_avg_rating", "round(user_avg_rating, 6)")
 _user_stat("user_last_ts", "user_last_ts", "user_last_ts")
 _user_stat("user_top_cat", "user_top_cat", "user_top_cat")
 _user_stat("user_top_brand", "user_top_brand", "user_top_brand")
-_user_stat("user_avg_price", "user_avg_price", "round(user_avg_price, 6)")
+_user_stat("user_avg_price", "user_avg_price", "round(user_avg_price, 8)")
 
 
 @query("global_avg_rating", "SELECT round(avg(rating), 6) AS global_avg_rating, max(ts) AS now_ts FROM train")
@@ -114,7 +114,7 @@ def _(w):
 
 @query("feature_store", """
 SELECT user_id, user_activity, round(user_avg_rating, 6) AS user_avg_rating, user_last_ts,
-       round(user_avg_price, 6) AS user_avg_price, user_top_cat, user_top_brand FROM user_features""")
+       round(user_avg_price, 8) AS user_avg_price, user_top_cat, user_top_brand FROM user_features""")
 def _(w):
     return rounded(store(w).users)
 

@@ -26,7 +26,7 @@ def connect(folder: str):
 
 def _norm(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else round(value, 8) + 0.0
     return value
 
 
