@@ -60,10 +60,11 @@ def test_late_rows_beyond_the_delay_are_dropped(spark, frame):
         at = START + dt.timedelta(minutes=minutes)
         return (n, 1, 1, "view", 3.0, at, int(at.timestamp() * 1000))
 
-    # the third file holds one row inside the delay, one far beyond it, and one that closes the windows
+    # row 2 is out of order but inside the delay; row 3 is far beyond it once the watermark of
+    # row 1 has become the late-row watermark, one micro-batch later; row 4 closes the windows
     df = frame([row(0, 5), row(1, 125), row(2, 118), row(3, 6), row(4, 600)], EVENTS)
     folder = stage_path(spark, "late")
-    for ids in ((0,), (1,), (2, 3), (4,)):
+    for ids in ((0,), (1,), (2,), (3,), (4,)):
         df.where(F.col("event_id").isin(*ids)).coalesce(1).write.mode("append").parquet(folder)
     counts = S.drain(S.event_counts(S.read_events(spark, folder, df.schema, files_per_trigger=1)), "late")
     start = int(START.timestamp() * 1000)
