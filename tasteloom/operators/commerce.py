@@ -264,7 +264,7 @@ def latency_summary(log: DataFrame) -> DataFrame:
     positioned = write_stage(group_positions(values, ["component"], ["ms"], "_pos"), "latency")
     means = positioned.groupBy("component").agg(F.avg("ms").alias("mean_ms"), F.count("*").alias("calls"))
     return (
-        positioned.join(F.broadcast(means), "component")  # one row per component
+        positioned.join(means, "component")
         .where(F.col("_pos") == F.floor(F.lit(0.95) * (F.col("calls") - 1)))
         .select("component", "calls", "mean_ms", F.col("ms").alias("p95_ms"))
     )

@@ -78,8 +78,7 @@ def _(w):
 
 @query("stream_cart_state", "SELECT user_id, item_id, qty, added_at FROM cart")
 def _(w):
-    lines = S.drain(S.cart_stream(_log(w, CART_ACTIONS, "action")), "cart", "update")
-    return S.latest(lines, "user_id", "item_id").where(F.col("qty") > 0)
+    return S.cart_stream(_log(w, CART_ACTIONS, "action"))
 
 
 @query("stream_throttle", """
@@ -93,7 +92,7 @@ f AS (
 SELECT user_id, seq, ts, result, blocked FROM f""")
 def _(w):
     logins = _log(w, {"error": "failed", "signup": "success"}, "result")
-    return S.drain(S.throttle_stream(logins, 432_000, 3), "throttle")
+    return S.throttle_stream(logins, 432_000, 3).select("user_id", "seq", "ts", "result", "blocked")
 
 
 @query("stream_recommend")

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tasteloom.config import DEFAULTS
 from tasteloom.functions.scalars import event_rating
+from tasteloom.operators.commerce import cart_state, throttle_flags
 from tasteloom.operators.ordering import first_per_group
 from tasteloom.session import configure, stage_path
 
@@ -149,78 +150,75 @@ def newest_lists(rows: DataFrame) -> DataFrame:
     return rows.join(last, ["user_id", "batch"], "left_semi").drop("batch")
 
 
-def apply_cart_action(lines: dict, action: str, item, qty, ts) -> None:
-    """One cart action on {item: (qty, added_at)}."""
-    if action == "checkout":
-        lines.clear()
-    elif action == "remove":
-        lines.pop(item, None)
-    elif action == "add":
-        count, since = lines.get(item, (0, ts))
-        lines[item] = (count + 1, since)
-    elif item in lines:
-        if qty <= 0:
-            lines.pop(item)
-        else:
-            lines[item] = (int(qty), lines[item][1])
+# ---------------------------------------------------------------- folds over micro-batches
+def fold_batches(stream: DataFrame, name: str, fold: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame:
+    """Run ``fold(batch, previous)`` per micro-batch and keep every result as its own folder.
 
+    ``previous`` is the stored result of the micro-batch before. The fold is an ordinary
+    batch plan, so a user with very many rows in one micro-batch is handled by its joins
+    and aggregations; a retried micro-batch overwrites its own folder. Returns all
+    results with their ``batch`` number.
+    """
+    spark = stream.sparkSession
+    out, checkpoint = stage_path(spark, name), stage_path(spark, f"{name}-checkpoint")
+    schemas: list[T.StructType] = []
 
-def cart_stream(actions: DataFrame) -> DataFrame:
-    """Cart lines touched by each micro-batch (update mode); quantity 0 marks a removed line.
+    def save(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        previous = session.read.parquet(f"{out}/batch={number - 1}") if number else None
+        result = fold(batch, previous)
+        schemas.append(result.schema)
+        result.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
+    full = T.StructType([*schemas[-1].fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(full).option("basePath", out).parquet(out)
 
-    State: the open lines of a user. A user's rows of one micro-batch are applied in
-    time order, so triggers should bound the micro-batch.
-    """
-    kinds = dict(actions.dtypes)
 
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        items, counts, since = state.get if state.exists else ([], [], [])
-        lines = {i: (q, t) for i, q, t in zip(items, counts, since)}
-        touched = set(lines)
-        rows = pd.concat(list(frames)).sort_values(["ts", "seq"])
-        for item, action, qty, ts in zip(rows["item_id"], rows["action"], rows["qty"], rows["ts"]):
-            apply_cart_action(lines, action, item, qty, ts)
-            touched.add(item)
-        state.update((list(lines), [q for q, _t in lines.values()], [t for _q, t in lines.values()]))
-        order = sorted(touched)
-        yield pd.DataFrame({
-            "user_id": key[0], "item_id": order,
-            "qty": [lines.get(i, (0, 0))[0] for i in order], "added_at": [lines.get(i, (0, 0))[1] for i in order],
-        })
+def last_batch(results: DataFrame) -> DataFrame:
+    newest = results.agg(F.max("batch")).first()[0]
+    return results.where(F.col("batch") == newest).drop("batch")
 
-    return actions.select("user_id", "item_id", "action", "qty", "ts", "seq").groupBy("user_id").applyInPandasWithState(
-        update,
-        f"user_id {kinds['user_id']}, item_id {kinds['item_id']}, qty bigint, added_at bigint",
-        f"items array<{kinds['item_id']}>, qty array<bigint>, added_at array<bigint>",
-        "update", GroupStateTimeout.NoTimeout,
-    )
 
+def fold_cart(batch: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """Cart after a micro-batch. Open lines re-enter the log as an add and a set that
+    precede every new row."""
+    log = batch.select("user_id", "item_id", "action", "qty", "ts", "seq")
+    if previous is not None:
+        steps = F.array(
+            F.struct(F.lit("add").alias("action"), F.lit(None).cast("bigint").alias("qty"), F.lit(-2).cast("bigint").alias("seq")),
+            F.struct(F.lit("set").alias("action"), F.col("qty").alias("qty"), F.lit(-1).cast("bigint").alias("seq")),
+        )
+        carried = previous.select("user_id", "item_id", F.col("added_at").alias("ts"), F.inline(steps))
+        log = log.unionByName(carried)
+    return cart_state(log)
 
-def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5) -> DataFrame:
-    """Blocked flag per login attempt. State: at most ``limit`` recorded failures."""
-    window_ms = int(window_s * 1000)
-    kinds = dict(logins.dtypes)
 
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        recent = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(frames)).sort_values(["ts", "seq"])
-        flags = []
-        for result, ts in zip(rows["result"], rows["ts"]):
-            recent = [t for t in recent if ts - t <= window_ms]
-            blocked = len(recent) >= limit
-            if not blocked:
-                recent = [] if result == "success" else [*recent, int(ts)]
-            flags.append(blocked)
-        state.update((recent,))
-        yield pd.DataFrame({
-            "user_id": key[0], "seq": rows["seq"].to_numpy(), "ts": rows["ts"].to_numpy(),
-            "result": rows["result"].to_numpy(), "blocked": flags,
-        })
+def cart_stream(actions: DataFrame) -> DataFrame:
+    """Current cart lines after everything available was folded."""
+    return last_batch(fold_batches(actions, "cart", fold_cart))
 
-    return logins.select("user_id", "result", "ts", "seq").groupBy("user_id").applyInPandasWithState(
-        update, f"user_id {kinds['user_id']}, seq {kinds['seq']}, ts bigint, result string, blocked boolean",
-        "recent array<bigint>", "append", GroupStateTimeout.NoTimeout,
-    )
+
+def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5) -> DataFrame:
+    """Blocked flag per login attempt. Between micro-batches a user is at most ``limit``
+    recorded failures, which re-enter the fold as its first rows."""
+
+    def fold(batch: DataFrame, previous: DataFrame | None) -> DataFrame:
+        rows = batch.select("user_id", "result", "ts", "seq").withColumn("carried", F.lit(False))
+        if previous is not None:
+            open_ = previous.where(~F.col("blocked"))
+            cleared = open_.where(F.col("result") == "success").groupBy("user_id").agg(
+                F.max(F.struct("ts", "seq")).alias("_ok")
+            )
+            recorded = open_.where(F.col("result") == "failed").join(cleared, "user_id", "left").where(
+                F.col("_ok").isNull() | (F.struct("ts", "seq") > F.col("_ok"))
+            )
+            recent = first_per_group(recorded, ["user_id"], [F.desc("ts"), F.desc("seq")], limit)
+            rows = rows.unionByName(recent.select("user_id", "result", "ts", "seq").withColumn("carried", F.lit(True)))
+        flags = throttle_flags(rows, window_s, limit)
+        return flags.join(rows.select("user_id", "seq", "carried"), ["user_id", "seq"])
+
+    return fold_batches(logins, "throttle", fold).where(~F.col("carried")).drop("carried", "batch")
 
 
 def recommend_stream(events: DataFrame, log_path: str, feed: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:

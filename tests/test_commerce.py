@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 
 from tasteloom.operators import commerce as O
-from tasteloom.streaming.behaviour import apply_cart_action
 from tests.conftest import rows
 
 LOG = "user_id int, item_id int, action string, qty bigint, ts bigint, seq bigint"
@@ -19,6 +18,22 @@ def actions(n=600, seed=0):
     return out
 
 
+def apply_cart_action(lines, action, item, qty, ts):
+    """One action on {item: (qty, added_at)}, as the shop defines it."""
+    if action == "checkout":
+        lines.clear()
+    elif action == "remove":
+        lines.pop(item, None)
+    elif action == "add":
+        count, since = lines.get(item, (0, ts))
+        lines[item] = (count + 1, since)
+    elif item in lines:
+        if qty <= 0:
+            lines.pop(item)
+        else:
+            lines[item] = (qty, lines[item][1])
+
+
 def replay(log):
     carts, checkouts = {}, []
     for user, item, action, qty, ts, seq in log:
