@@ -40,8 +40,11 @@ def sha256_hex(content: Column) -> Column:
 def content_store(docs: DataFrame, digest=sha256_hex, *more: str) -> DataFrame:
     """Rows as the stream reads them: ``row_id`` (the locator), ``doc_id``, ``content``, ``digest`` and ``more``."""
     rows = doc_rows(docs, *more).select("doc_id", normalised().alias("content"), *more)
-    return write_stage(rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "content",
-                                   digest(F.col("content")).alias("digest"), *more), "dedup-content")
+    rows = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "content",
+                       digest(F.col("content")).alias("digest"), *more)
+    path = stage_path(docs.sparkSession, "dedup-content")
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def advance_state(spark: SparkSession, source: str, checkpoint: str, bytes_per_trigger: int = 64 << 30,
@@ -96,10 +99,11 @@ def deduplicate(docs: DataFrame, digest=sha256_hex, files_per_trigger: int | Non
     state = write_stage(read_state(spark, checkpoint), "dedup-entries")
     light = store.select("row_id", "doc_id", "digest", *more)
     hits = state.filter("group_size > 1")
-    # the located contents, then every other row of their digests against them
-    kept = store.select(F.col("row_id").alias("locator"), F.col("content").alias("kept_content")).join(
-        hits.select("digest", "locator"), "locator")
-    unequal = store.select("row_id", "digest", "content").join(kept, "digest").filter(
+    # rows of shared digests only, then each against the content at its digest's locator
+    doubtful = write_stage(store.select("row_id", "digest", "content").join(hits.select("digest", "locator"), "digest"),
+                           "dedup-hits")
+    kept = doubtful.filter("row_id = locator").select("digest", F.col("content").alias("kept_content"))
+    unequal = doubtful.select("digest", "content").join(kept, "digest").filter(
         F.col("content") != F.col("kept_content")).select("digest").distinct()
     collided = [r[0] for r in unequal.limit(1).collect()]
     rows = light.join(state, "digest")
