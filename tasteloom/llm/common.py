@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from tasteloom.schema import assert_columns
 from tasteloom.session import configure, stage_path, write_stage
 
-__all__ = ["checksum", "crc_mod", "doc_rows", "session_conf", "stage_path", "table", "text_or_empty", "write_stage"]
+__all__ = ["checksum", "crc_mod", "doc_rows", "session_conf", "small_batches", "stage_path", "table", "text_or_empty", "write_stage"]
 
 SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    small_batches(configure(spark))
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches that stay small when texts are long."""
+    for key, value in (("maxRecordsPerBatch", "2000"), ("maxBytesPerBatch", str(16 << 20))):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
 def doc_rows(docs: DataFrame, *more: str) -> DataFrame:
