@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tasteloom.llm import exact_dedup
-from tasteloom.llm.common import table
+from tasteloom.llm import bpe, exact_dedup, language
+from tasteloom.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +32,25 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY content)""")
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, folder, "documents"))
+
+
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    definition = bpe.vocabulary(word_bpe())
+    ids = bpe.encode(table(spark, folder, "documents"), definition)
+    return ids.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(bpe.decode(F.col("ids"), definition, spark).cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.filter(crc_mod(5) != 0))
+    return language.identify(docs, model, (crc_mod(5) == 0).alias("held_out"))
