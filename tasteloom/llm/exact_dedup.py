@@ -22,6 +22,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _STATE_CONF = {
     "spark__sql__streaming__stateStore__providerClass": _ROCKSDB,
     "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+    "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",  # many small stores
     "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
     "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "256",
 }
