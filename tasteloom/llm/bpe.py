@@ -22,13 +22,14 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.llm.common import doc_rows, text_or_empty
 
 LEAF = 32_768          # characters encoded in one piece
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 200_000
+_ROWS = 500             # rows whose ids are held at once
 _WINDOW = 64
 
 # fixed values: letters and numbers of the scripts that are looked up by word, and the word pattern of the vocabulary
@@ -178,9 +179,9 @@ def vocabulary(path: str) -> str:
 
 
 def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
-    """``doc_id, ids``: the ids of each row's whole text as little-endian unsigned 32-bit integers.
+    """``doc_id, ids, decoded``: the ids of each row's whole text and the text that they decode to.
 
-    One row per row of ``docs``, also where ids repeat or are null; null text
+    Ids are little-endian unsigned 32-bit integers in one binary. One row per row of ``docs``, also where ids repeat or are null; null text
     counts as empty and gives no ids. ``definition`` is a tokenizer definition in
     JSON (see :func:`vocabulary`), used with its padding and truncation off and
     without added special tokens. Other columns are ignored.
@@ -191,8 +192,11 @@ def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held.value)
         for part in batches:
-            yield pa.record_batch([part["doc_id"], pa.array([codec.encode(t) for t in part["text"].to_pylist()],
-                                                            pa.binary())], ["doc_id", "ids"])
+            for at in range(0, len(part), _ROWS):
+                some = part.slice(at, _ROWS)
+                ids = [codec.encode(t) for t in some["text"].to_pylist()]
+                yield pa.record_batch([some["doc_id"], pa.array(ids, pa.binary()),
+                                       pa.array(map(codec.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -220,25 +224,28 @@ def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
         pieces = [by_piece[i][1] for i in range(len(by_piece))]
         for rows, at in zip(pieces, cuts):
             rows[:, 1:] += at
-        made = join_tree(_codec(held.value).encode_places, "".join(texts), pieces, cuts)
-        return pa.table({"doc_id": pa.array([doc] * copies, pa.int64()),
-                         "ids": pa.array([made[:, 0].astype("<u4").tobytes()] * copies, pa.binary())})
+        codec = _codec(held.value)
+        ids = join_tree(codec.encode_places, "".join(texts), pieces, cuts)[:, 0].astype("<u4").tobytes()
+        return pa.table({"doc_id": pa.array([doc] * copies, pa.int64()), "ids": pa.array([ids] * copies, pa.binary()),
+                         "decoded": pa.array([codec.decode(ids)] * copies, pa.string())})
 
-    short = rows.filter(F.length("text") <= leaf).mapInArrow(whole, "doc_id bigint, ids binary")
+    made = "doc_id bigint, ids binary, decoded string"
+    short = rows.filter(F.length("text") <= leaf).mapInArrow(whole, made)
     long = rows.filter(F.length("text") > leaf).select("doc_id", "text", F.xxhash64("text").alias("key"))
     pieces = long.mapInArrow(cut, "doc_id bigint, key bigint, piece int, text string")
     pieces = pieces.repartition("doc_id", "key", "piece").mapInArrow(
         leaves, "doc_id bigint, key bigint, piece int, text string, places binary")
-    return short.unionByName(pieces.groupBy("doc_id", "key").applyInArrow(joined, "doc_id bigint, ids binary"))
+    return short.unionByName(pieces.groupBy("doc_id", "key").applyInArrow(joined, made))
+
 
 
-def decode(ids: Column, definition: str, spark) -> Column:
-    """The text of an ``ids`` column: the tokens in order with a space between, as the vocabulary has no decoder."""
-    held = spark.sparkContext.broadcast(definition)
+def decode(rows: DataFrame, definition: str) -> DataFrame:
+    """``rows`` with ``ids`` as ``decoded`` text: the tokens with a space between, as the vocabulary has no decoder."""
+    held = rows.sparkSession.sparkContext.broadcast(definition)
 
     @F.pandas_udf("string")
     def text_of(column: pd.Series) -> pd.Series:
         codec = _codec(held.value)
-        return pd.Series([codec.decode(x) for x in column], dtype=object)
+        return pd.Series([codec.decode(x) if x is not None else None for x in column], dtype=object)
 
-    return text_of(ids)
+    return rows.withColumn("decoded", text_of("ids"))

@@ -60,7 +60,10 @@ def test_nulls_repeats_and_clashing_names(spark):
     big = "Thin the ating " * 40 + "z" * 300
     rows = [(1, "Hello world's", "x"), (2, None, "y"), (None, "", "z"), (3, big, "a"), (3, big, "a"), (None, big + "!", "b")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
-    got = sorted(((r.doc_id, bytes(r.ids)) for r in bpe.encode(docs, DEFINITION, leaf=64).collect()), key=str)
+    made = bpe.encode(docs, DEFINITION, leaf=64)
+    got = sorted(((r.doc_id, bytes(r.ids)) for r in made.collect()), key=str)
+    again = bpe.decode(made.withColumnRenamed("decoded", "first"), DEFINITION)
+    assert again.filter("first != decoded").count() == 0
     want = sorted(((d, np.array(library(t or ""), "<u4").tobytes()) for d, t, _ in rows), key=str)
     assert got == want
     assert bpe.encode(docs.limit(0), DEFINITION).collect() == []
