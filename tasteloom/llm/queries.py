@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import bpe, exact_dedup, language
+from tasteloom.llm import bpe, exact_dedup, language, licenses, ppm, quality, secret_scan, toxicity
 from tasteloom.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,11 +42,10 @@ def word_bpe() -> str:
 
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    definition = bpe.vocabulary(word_bpe())
-    ids = bpe.encode(table(spark, folder, "documents"), definition)
+    ids = bpe.encode(table(spark, folder, "documents"), bpe.vocabulary(word_bpe()))
     return ids.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), definition, spark).cast("binary"), 256).alias("decoded_sha256"))
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 @query("op4_language")
@@ -54,3 +53,70 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.fit(docs.filter(crc_mod(5) != 0))
     return language.identify(docs, model, (crc_mod(5) == 0).alias("held_out"))
+
+
+@query("op9_ppm")
+def op9_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    scored = ppm.score(table(spark, folder, "documents"), crc_mod(7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         "score")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"), crc_mod(5) != 0)
+    return toxicity.grade(docs, model).select(
+        "doc_id", (crc_mod(5) == 0).alias("held_out"), F.col("toxic_score").alias("score"), "severity",
+        F.col("toxic").cast("int").alias("predicted"), "toxic")
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    forest = quality.fit(docs, table(spark, folder, "labels"), crc_mod(3) != 1)
+    return quality.score(docs, forest, (crc_mod(3) == 1).alias("held_out"))
+
+
+def _secret_sql() -> str:
+    """Matches and what lies before them, taken apart and counted up as in the operator; any rule by any other engine."""
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        pattern = f"(?s)(.*?)({rule.pattern}|\\z)".replace("'", "''")
+        groups = ", ".join(f"unnest(regexp_extract_all(text, '{pattern}', {g})) AS {c}"
+                           for g, c in ((1, "before"), (2, "found"), (2 + rule.group, "measured")))
+        parts.append(f"SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, {groups}, "
+                     f"generate_subscripts(regexp_extract_all(text, '{pattern}', 1), 1) AS i FROM d")
+    base = "('assign', 'access', 'hex')"
+    joined = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({" UNION ALL ".join(parts)}),
+ends AS (SELECT *, sum(length(before) + length(found)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM parts),
+spans AS (SELECT doc_id, rank, kind, CAST(stop - length(found) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop
+          FROM ends WHERE length(found) > 0 AND length(measured) >= least),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k,
+               count(*) FILTER (kind = 'hex') AS h, {joined} AS s, {joined} FILTER (kind IN {base}) AS b
+        FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(s, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)"""
+
+
+@query("op3_secret_scan", _secret_sql())
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in kinds),
+                        F.sha2(secret_scan.as_text(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), F.concat_ws("/", F.col("source"), F.col("doc_id")))
