@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import bpe, exact_dedup, language, licenses, ppm, quality, secret_scan, toxicity
+from tasteloom.llm import bpe, decontaminate, exact_dedup, jaccard_join, language, licenses, ppm, quality, secret_scan, toxicity
 from tasteloom.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,14 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"), F.concat_ws("/", F.col("source"), F.col("doc_id")))
+
+
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "start", "n_words")
