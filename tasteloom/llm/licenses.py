@@ -3,9 +3,9 @@
 A unit is a line or sentence of a document (a notice), or its whole text (a licence
 file). Words outside the templates weigh as much as the rarest word inside. A unit
 can reach the threshold with a template only if it holds one of the template's
-heaviest words: with those gone, what remains of the template is too short a
-vector. So texts without any of these anchor words are left out before words are
-counted, without losing a match. A document without a notice of its own takes the
+anchor words, chosen so that without them what remains of the template is too
+short a vector. So texts without any anchor are left out before words are counted,
+without losing a match. A document without a notice of its own takes the
 licence of the nearest directory above it that has a licence file.
 """
 
@@ -43,7 +43,10 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
-THRESHOLD = 0.75
+# fixed values: words that any text may have, taken as anchors only when a template has nothing else
+COMMON = frozenset("a and any are as at be by for form from in is it may not of on or source terms that the this to under use "
+                   "with without work you code can following free person".split())
+THRESHOLD = 0.85
 _SPLIT = r"[^\p{L}\p{N}]+"
 _UNIT = r"\n+|(?<=[.!?])\s+"
 
@@ -68,7 +71,7 @@ class Vectors:
             vector = {w: x / size for w, x in raw.items()}
             self.vectors.append((name, vector))
             rest = 1.0
-            for w, x in sorted(vector.items(), key=lambda p: (-p[1], p[0])):
+            for w, x in sorted(vector.items(), key=lambda p: (p[0] in COMMON, len(p[0]) < 4, -p[1], p[0])):
                 if rest < threshold ** 2:
                     break
                 self.anchors.add(w)
@@ -125,11 +128,14 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
                        docs["text"].cast("string").alias("text")).withColumn("text", text_or_empty())
     rows = rows.select("doc_id", "path", "text", F.xxhash64("text").alias("key"),
                        F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).alias("dir"))
-    anchor = "(?:" + "|".join(sorted(map(re.escape, vectors.anchors))) + ")"
-    rough = rf"(?iu)(?<![\p{{L}}\p{{N}}]){anchor}(?![\p{{L}}\p{{N}}])"
-    some = rows.filter(F.col("text").rlike(rough)).select("doc_id", "key", "text")
+    anchors = F.array(*map(F.lit, sorted(vectors.anchors)))
+
+    def anchored(text: str) -> Column:
+        return F.arrays_overlap(F.split(F.lower(text), _SPLIT), anchors)
+
+    some = rows.filter(anchored("text")).select("doc_id", "key", "text")
     notices = some.select("doc_id", "key", F.posexplode(F.split("text", _UNIT)).alias("unit", "text")).filter(
-        F.col("text").rlike(rough))
+        anchored("text"))
     units = notices.unionByName(some.select("doc_id", "key", F.lit(-1).alias("unit"), "text"))
     found = match_units(units.dropDuplicates(["doc_id", "key", "unit"]), vectors, threshold)
     own = found.groupBy("doc_id", "key").agg(
