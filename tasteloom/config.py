@@ -21,7 +21,6 @@ class Settings:
     max_history: int = 20
     seed: int = 42
     # sizing knobs of this library
-    broadcast_rows: int = 2_000_000        # upper bound for frames we broadcast ourselves
     broadcast_bytes: int = 128 * 1024 * 1024
     vector_block: int = 16_384             # vectors per block of the blocked top-N
     score_bytes: int = 64 * 1024 * 1024    # one score matrix inside a task

@@ -49,7 +49,9 @@ def nan_to_null(col: Column | str) -> Column:
 
 
 def clean_price(col: Column | str) -> Column:
-    """Mean of all numbers in a raw price ("$10 - $20" is 15), null without any."""
+    """Mean of all numbers in a raw price ("$10 - $20" is 15), null without any.
+    A plain number, also with sign or exponent, is taken as it is."""
+    plain = F.when(F.trim(_c(col)).rlike(r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"), F.trim(_c(col)).try_cast("double"))
     found = F.regexp_extract_all(_c(col), F.lit(r"([\d,]+\.?\d*)"), F.lit(1))
     digits = F.transform(found, lambda s: F.replace(s, F.lit(","), F.lit("")))
     values = F.transform(
@@ -57,7 +59,7 @@ def clean_price(col: Column | str) -> Column:
         lambda s: s.try_cast("double"),
     )
     total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(F.size(values) > 0, total / F.size(values))
+    return F.coalesce(plain, F.when(F.size(values) > 0, total / F.size(values)))
 
 
 def pick_image(col: Column | str) -> Column:

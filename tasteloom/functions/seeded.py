@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPAN = 2**32
+_DIGITS = 15  # hex digits of the digest: 60 bits
+_SPAN = 16**_DIGITS
 
 
 def draw_int(seed: int | str, *keys: Column | str) -> Column:
-    """Uniform integer in [0, 2^32)."""
+    """Uniform integer in [0, 2^60)."""
     parts = [F.lit(str(seed))]
     parts += [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, _DIGITS), 16, 10).cast("bigint")
 
 
 def draw_unit(seed: int | str, *keys: Column | str) -> Column:

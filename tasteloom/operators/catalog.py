@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.functions.text import catalog_text, is_suggestable, split_words, tokenize_query
+from tasteloom.functions.text import catalog_text, is_suggestable, split_words
 from tasteloom.operators.ordering import first_per_group
+from tasteloom.session import write_stage
 
 # fixed values: sort keys offered by search and browsing, and the labels of the filter form
 SORTS = ("relevance", "rating", "price_asc", "price_desc")
@@ -26,9 +27,14 @@ def sort_columns(sort: str) -> list[Column]:
     return [first, F.asc("item_id")]
 
 
+def like_pattern(pattern: Column) -> Column:
+    """A search pattern in which a backslash before an ordinary character stands for that character."""
+    return F.regexp_replace(pattern, r"(\\[\\%_])|\\(.)", "$1$2")
+
+
 def matches_term(term: str | Column) -> Column:
     """Case-insensitive substring of title, brand or category; % and _ stay wildcards."""
-    pattern = F.concat(F.lit("%"), F.lit(term) if isinstance(term, str) else term, F.lit("%"))
+    pattern = like_pattern(F.concat(F.lit("%"), F.lit(term) if isinstance(term, str) else term, F.lit("%")))
     hits = [F.coalesce(F.ilike(F.col(c), pattern), F.lit(False)) for c in ("title", "brand", "category")]
     return hits[0] | hits[1] | hits[2]
 
@@ -42,7 +48,7 @@ def filter_items(items: DataFrame, min_rating: float | None = None, price_min: f
     if price_max is not None:
         items = items.where(F.col("price") <= price_max)
     if brand:
-        items = items.where(F.ilike(F.col("brand"), F.lit(f"%{brand}%")))
+        items = items.where(F.ilike(F.col("brand"), like_pattern(F.lit(f"%{brand}%"))))
     return items
 
 
@@ -57,8 +63,18 @@ def search_items(items: DataFrame, query: str, limit: int = 20, sort: str = "rel
     return found.orderBy(*sort_columns(sort)).limit(limit)
 
 
+_GRAM = 3  # characters of the pieces by which terms find items
+
+
+def _grams(text: Column) -> Column:
+    """Distinct runs of three characters."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (_GRAM - 1), F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(_GRAM))))
+
+
 def search_many(items: DataFrame, queries: Sequence[str], limit: int = 20, sort: str = "relevance") -> DataFrame:
-    """Several searches in one scan: (query, rank, item...). Pages are cut per query."""
+    """A few searches in one scan: (query, rank, item...). Pages are cut per query; see
+    ``search_table`` for many."""
     tags = []
     for q in queries:
         terms = q.split()
@@ -74,6 +90,35 @@ def search_many(items: DataFrame, queries: Sequence[str], limit: int = 20, sort:
     return first_per_group(tagged, ["query"], sort_columns(sort), limit, "rank").select("query", "rank", *items.columns)
 
 
+def search_table(items: DataFrame, queries: DataFrame, limit: int = 20, sort: str = "relevance") -> DataFrame:
+    """A table of searches at once: (query, rank, item...). Pages are cut per query.
+
+    ``queries`` has a column ``query``. The rarest run of three characters of a query's terms finds the items that may match in an index of
+    such runs, then every term is verified. Queries without such a run (only short
+    terms, or terms with wildcards) are verified against all items, so they cost a
+    scan each. Blank queries find nothing.
+    """
+    asked = queries.select("query").distinct().withColumn(
+        "terms", F.filter(F.split(F.lower("query"), r"\s+"), lambda t: t != "")).where(F.size("terms") > 0)
+    plain = F.filter("terms", lambda t: ~t.rlike(r"[%_\\]") & (F.length(t) >= _GRAM))
+    asked = write_stage(asked.withColumn("grams", F.array_distinct(F.flatten(F.transform(plain, _grams)))), "searches")
+    fields = [F.lower(F.coalesce(F.col(c), F.lit(""))) for c in ("title", "brand", "category")]
+    keyed = items.select("*", F.monotonically_increasing_id().alias("_item"))
+    keyed = write_stage(keyed, "searched-items")
+    index = keyed.select("_item", F.explode(F.array_distinct(F.concat(*map(_grams, fields)))).alias("gram"))
+    index = write_stage(index, "item-grams")
+    wanted = asked.select("query", F.explode("grams").alias("gram"))
+    counts = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = wanted.join(counts, "gram", "left").groupBy("query").agg(
+        F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    pairs = rarest.join(index, "gram").select("query", "_item").unionByName(
+        asked.where(F.size("grams") == 0).select("query").join(keyed.select("_item")))
+    tagged = pairs.join(asked.select("query", "terms"), "query").join(keyed, "_item")
+    hit = F.forall("terms", matches_term)
+    return first_per_group(tagged.where(hit), ["query"], sort_columns(sort), limit, "rank").select(
+        "query", "rank", *items.columns)
+
+
 def category_top(items: DataFrame, category: str | None = None, limit: int = 20, sort: str = "rating",
                  exclude: DataFrame | None = None, **filters) -> DataFrame:
     """Best items of one category, or of every category when none is named."""
@@ -116,7 +161,7 @@ def suggest_words(items: DataFrame, query: str, n: int = 8, pool_limit: int | No
         pool = pool.where(matches_term(term))
     if pool_limit is not None:
         pool = pool.orderBy("item_id").limit(pool_limit)
-    words = catalog_words(pool).where(F.ilike("word", F.lit(tokens[-1] + "%")) & is_suggestable(F.col("word")))
+    words = catalog_words(pool).where(F.ilike("word", like_pattern(F.lit(tokens[-1] + "%"))) & is_suggestable(F.col("word")))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(n)
     head = " ".join(tokens[:-1])
@@ -154,6 +199,3 @@ def page(ranked: DataFrame, shown: int, step: int, cap: int) -> DataFrame:
     """Rows a "load more" click adds after ``shown`` rows; nothing beyond ``cap``."""
     return ranked.where((F.col("rank") > shown) & (F.col("rank") <= min(cap, shown + step)))
 
-
-def query_tokens(queries: DataFrame, column: str = "query") -> DataFrame:
-    return queries.select(column, F.posexplode(tokenize_query(F.col(column))).alias("pos", "token"))

@@ -257,15 +257,19 @@ def active_sessions(sessions: DataFrame, users: DataFrame, now_ms: int, ttl_days
 def latency_summary(log: DataFrame) -> DataFrame:
     """Mean and lower-rank 95th percentile per component of a map column.
 
-    Values are positioned by a range sort, so a component with most of the rows is
-    spread over many tasks.
+    Equal values are counted before anything is ordered, and the counts are summed up
+    along a range sort, so neither a component nor a value with most of the rows ends up
+    in one task.
     """
     values = log.select(F.explode("latency_ms").alias("component", "ms"))
-    positioned = write_stage(group_positions(values, ["component"], ["ms"], "_pos"), "latency")
-    means = positioned.groupBy("component").agg(F.avg("ms").alias("mean_ms"), F.count("*").alias("calls"))
+    counted = write_stage(values.groupBy("component", "ms").agg(F.count("*").alias("_n")), "latency")
+    means = counted.groupBy("component").agg(
+        (F.sum(F.col("ms") * F.col("_n")) / F.sum(F.when(F.col("ms").isNotNull(), F.col("_n")))).alias("mean_ms"),
+        F.sum("_n").alias("calls"))
+    placed = group_running_sum(counted, ["component"], ["ms"], {"_upto": F.col("_n")})
+    at = F.floor(F.lit(0.95) * (F.col("calls") - 1))
     return (
-        positioned.join(means, "component")
-        .where(F.col("_pos") == F.floor(F.lit(0.95) * (F.col("calls") - 1)))
+        placed.join(means, "component").where((F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto")))
         .select("component", "calls", "mean_ms", F.col("ms").alias("p95_ms"))
     )
 
@@ -295,8 +299,14 @@ def throttle_flags(log: DataFrame, window_s: float = 600, limit: int = 5) -> Dat
     """
     window_ms = int(window_s * 1000)
     kinds = dict(log.dtypes)
+    attempts = throttle_segments(log.select("user_id", "result", "ts", "seq"), window_ms)
+    failures = attempts.groupBy("user_id", "segment").agg(
+        F.count_if(~F.coalesce(F.col("result") == "success", F.lit(False))).alias("_failed"))
+    attempts = write_stage(attempts.join(failures, ["user_id", "segment"]), "attempts")
+    # only a segment with so many failures can block; all others are done
+    free = attempts.where(F.col("_failed") < limit).select("user_id", "seq", "ts", "result", F.lit(False).alias("blocked"))
     ordered = (
-        throttle_segments(log.select("user_id", "result", "ts", "seq"), window_ms)
+        attempts.where(F.col("_failed") >= limit).drop("_failed")
         .repartition("user_id", "segment")
         .sortWithinPartitions("user_id", "segment", "ts", "seq")
     )
@@ -318,6 +328,6 @@ def throttle_flags(log: DataFrame, window_s: float = 600, limit: int = 5) -> Dat
                 "result": batch["result"], "blocked": blocked,
             })
 
-    return ordered.mapInPandas(
+    return free.unionByName(ordered.mapInPandas(
         fold, f"user_id {kinds['user_id']}, seq {kinds['seq']}, ts bigint, result string, blocked boolean"
-    )
+    ))

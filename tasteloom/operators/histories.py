@@ -9,7 +9,7 @@ from tasteloom.config import DEFAULTS
 from tasteloom.functions.vectors import mean_vectors
 from tasteloom.operators.ordering import first_per_group, group_positions
 
-_CHUNK = 8192
+_CHUNK = 8192  # positions per chunk, at least
 
 
 def history_sequence(train: DataFrame, item: str = "item_id", user: str = "user_id") -> DataFrame:
@@ -27,8 +27,9 @@ def history_windows(train: DataFrame, max_history: int = DEFAULTS.max_history,
     ``max_history`` rows of the chunk before it, so windows stay whole while a hot
     user is spread over many tasks.
     """
-    seq = history_sequence(train, item, user).withColumn("_chunk", F.floor(F.col("pos") / _CHUNK))
-    carried = F.col("pos") % _CHUNK >= _CHUNK - max_history
+    chunk = max(_CHUNK, max_history)  # a window never reaches beyond the chunk before
+    seq = history_sequence(train, item, user).withColumn("_chunk", F.floor(F.col("pos") / chunk))
+    carried = F.col("pos") % chunk >= chunk - max_history
     placed = seq.withColumn(
         "_place",
         F.explode(

@@ -94,6 +94,21 @@ def group_running_sum(
     )
 
 
+def unseen_at(wanted: DataFrame, seen: DataFrame, user: str) -> DataFrame:
+    """The ``at``-th code (from 0) that each user has not seen, as int column ``i`` beside the columns of ``wanted``.
+
+    ``seen`` holds distinct (user, i). With c the user's sorted seen codes, the code is
+    ``at`` plus the number of codes with c - position <= at. Codes and wanted ranks are
+    merged in one ordered scan, so they are never paired.
+    """
+    gaps = group_positions(seen, [user], ["i"], "_pos").select(user, (F.col("i") - F.col("_pos")).cast("bigint").alias("at"))
+    merged = gaps.withColumn("_want", F.lit(0)).unionByName(
+        wanted.withColumn("_want", F.lit(1)), allowMissingColumns=True)
+    counted = group_running_sum(merged, [user], ["at", "_want"], {"_below": F.col("_want") == 0})
+    return counted.where(F.col("_want") == 1).withColumn("i", (F.col("at") + F.col("_below")).cast("int")).drop(
+        "_want", "_below")
+
+
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], n: int = 1,
                     rank: str | None = None) -> DataFrame:
     """First ``n`` rows per group. Spark's window group limit keeps at most ``n``

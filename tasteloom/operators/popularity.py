@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from tasteloom.config import DEFAULTS
 from tasteloom.functions.seeded import draw_int
-from tasteloom.operators.ordering import first_per_group, global_index
+from tasteloom.operators.ordering import first_per_group, global_index, unseen_at
 from tasteloom.session import write_stage
 
-_STRIDE = 2**31 - 1  # a prime, so stepping by it visits every code of a catalog once
-
 
 def popularity_rank(train: DataFrame) -> DataFrame:
     """All items, most rows first, ties by item id: (pop_rank, item_id, n)."""
@@ -90,8 +88,9 @@ def random_recommend(
     ``items`` is an encoder (item_id, i). Users draw item codes by hash instead of
     being paired with the catalog: draw number d of a user is one code; repeats and
     seen items are dropped; the first ``n`` survivors are a uniform sample without
-    replacement. Users left short are completed by walking the catalog from a random
-    start until ``n`` unseen items are found, so lists are whole.
+    replacement. Users left short draw ranks among the items they have not seen
+    instead, which is the same distribution; if few are unseen, all of them, in hash
+    order. So lists are whole where the catalog allows it.
     """
     n_items = items.count()
     coded_seen = seen.join(items, "item_id").select("user_id", "i")
@@ -101,35 +100,26 @@ def random_recommend(
     ).withColumn("i", F.pmod(draw_int(seed, "user_id", "d"), F.lit(n_items)).cast("int"))
     first_draw = drawn.groupBy("user_id", "i").agg(F.min("d").cast("bigint").alias("key"))
     fresh = first_draw.join(coded_seen, ["user_id", "i"], "left_anti")
-    top = first_per_group(fresh, ["user_id"], ["key"], n, "rank")
+    top = write_stage(first_per_group(fresh, ["user_id"], ["key"], n, "rank"), "random-first")
 
     have = top.groupBy("user_id").agg(F.count("*").alias("_have"))
-    short = wanted.join(have, "user_id", "left").where(F.coalesce("_have", F.lit(0)) < n)
-    load = coded_seen.join(short, "user_id", "left_semi").groupBy("user_id").agg(F.count("*").alias("_seen"))
-    walk = (
-        short.join(load, "user_id", "left")
-        .withColumn(
-            "_len",
-            F.least(F.coalesce("_seen", F.lit(0)) + F.lit(2 * n + draws), F.lit(n_items).cast("bigint")),
-        )
-        .select(
-            "user_id",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_len") - 1)).alias("step"),
-        )
-        .withColumn(
-            "i",
-            F.pmod(
-                draw_int(seed, "user_id", F.lit("walk")) + F.col("step") * F.lit(_STRIDE % n_items),
-                F.lit(n_items),
-            ).cast("int"),
-        )
-    )
-    extra = (
-        walk.select("user_id", "i", (F.col("step") + n + draws).alias("key"))
-        .unionByName(fresh.join(short, "user_id", "left_semi").select("user_id", "i", "key"))
-        .groupBy("user_id", "i").agg(F.min("key").alias("key"))
-        .join(coded_seen, ["user_id", "i"], "left_anti")
-    )
-    completed = first_per_group(extra, ["user_id"], ["key"], n, "rank")
-    full = top.join(short, "user_id", "left_anti").unionByName(completed)
+    short = write_stage(
+        wanted.join(have, "user_id", "left").where(F.coalesce("_have", F.lit(0)) < n).select("user_id"), "random-short")
+    if short.isEmpty():
+        return top.join(items, "i").select("user_id", "item_id", "rank")
+    own = coded_seen.join(short, "user_id", "left_semi").distinct()
+    unseen = short.join(own.groupBy("user_id").agg(F.count("*").alias("_seen")), "user_id", "left").select(
+        "user_id", (F.lit(n_items) - F.coalesce("_seen", F.lit(0))).cast("bigint").alias("_left")).where("_left > 0")
+    tries = F.least(F.col("_left"), F.lit(3 * n + 64).cast("bigint"))
+    picks = unseen.select("user_id", "_left", F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(
+        F.col("_left") <= 4 * n, F.col("_left")).otherwise(tries) - 1)).alias("d"))
+    hashed = draw_int(seed, "user_id", F.lit("rest"), "d")
+    few = F.col("_left") <= 4 * n
+    ranks = picks.select("user_id", F.when(few, F.col("d")).otherwise(F.pmod(hashed, F.col("_left"))).alias("at"),
+                         F.when(few, hashed).otherwise(F.col("d")).alias("key"))
+    ranks = ranks.groupBy("user_id", "at").agg(F.min("key").alias("key"))
+    chosen = first_per_group(ranks, ["user_id"], ["key", "at"], n, "rank")
+    completed = unseen_at(chosen, own, "user_id")
+    full = top.join(short, "user_id", "left_anti").select("user_id", "i", "rank").unionByName(
+        completed.select("user_id", "i", "rank"))
     return full.join(items, "i").select("user_id", "item_id", "rank")

@@ -53,6 +53,27 @@ def _(w):
     return G.search_many(w.items, _BATCH).select("query", F.col("rank").cast("bigint").alias("rank"), "item_id")
 
 
+_TERMS = "SELECT query, unnest(string_split(query, ' ')) AS term FROM asked"
+
+
+@query("search_table", f"""
+WITH asked AS (SELECT DISTINCT lower(p_name) AS query FROM part
+  UNION SELECT DISTINCT lower(split_part(p_name, ' ', 1)) || ' ' || lower(p_brand) FROM part UNION SELECT unnest(['%1', 're_ ring'])),
+terms AS ({_TERMS}),
+hits AS (SELECT query, item_id, avg_rating FROM terms JOIN items ON coalesce(title ILIKE '%' || term || '%', false)
+    OR coalesce(brand ILIKE '%' || term || '%', false) OR coalesce(category ILIKE '%' || term || '%', false)
+  GROUP BY query, item_id, avg_rating HAVING count(DISTINCT term) = any_value(len(list_distinct(string_split(query, ' '))))),
+ranked AS (SELECT query, item_id, row_number() OVER (PARTITION BY query ORDER BY avg_rating DESC NULLS LAST, item_id) AS rank FROM hits)
+SELECT query, rank, item_id FROM ranked WHERE rank <= 20""")
+def _(w):
+    part = w.table("part")
+    names = part.select(F.lower("p_name").alias("query"))
+    brands = part.select(F.concat_ws(" ", F.lower(F.split("p_name", " ")[0]), F.lower("p_brand")).alias("query"))
+    odd = part.limit(1).select(F.explode(F.array(F.lit("%1"), F.lit("re_ ring"))).alias("query"))
+    found = G.search_table(w.items, names.unionByName(brands).unionByName(odd))
+    return found.select("query", F.col("rank").cast("bigint").alias("rank"), "item_id")
+
+
 @query("category_top", """
 SELECT category, rank, item_id FROM (SELECT category, item_id, row_number() OVER (
   PARTITION BY category ORDER BY avg_rating DESC NULLS LAST, item_id) AS rank

@@ -101,7 +101,7 @@ def _(w):
 
 
 @query("user_holdout_split", """
-SELECT user_id, CASE WHEN ('0x' || substr(md5('42|' || user_id), 1, 8))::BIGINT % 100 < 85
+SELECT user_id, CASE WHEN ('0x' || substr(md5('42|' || user_id), 1, 15))::BIGINT % 100 < 85
                      THEN 'fit' ELSE 'holdout' END AS part
 FROM (SELECT DISTINCT user_id FROM train)""")
 def _(w):
@@ -110,7 +110,7 @@ def _(w):
 
 @query("user_sample", """
 SELECT user_id FROM (SELECT DISTINCT user_id FROM truth)
-ORDER BY ('0x' || substr(md5('42|' || user_id), 1, 8))::BIGINT, user_id LIMIT 200""")
+ORDER BY ('0x' || substr(md5('42|' || user_id), 1, 15))::BIGINT, user_id LIMIT 200""")
 def _(w):
     return S.user_sample(S.ground_truth(w.test).select("user_id").distinct(), 200)
 

@@ -52,7 +52,7 @@ def rounded(df):
 
 
 def _draw(expr: str) -> str:
-    return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({expr}), 1, 15))::BIGINT"
 
 
 view("random_recs", f"""

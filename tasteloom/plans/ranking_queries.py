@@ -167,7 +167,7 @@ def _(w):
 
 @query("ranker_label_report", """
 SELECT part, count(*) AS n_rows, count(DISTINCT user_id) AS n_groups, round(avg(label), 6) AS positive_rate
-FROM (SELECT *, CASE WHEN (('0x' || substr(md5('42|' || user_id), 1, 8))::BIGINT + 0.5) / 4294967296.0 < 0.85
+FROM (SELECT *, CASE WHEN (('0x' || substr(md5('42|' || user_id), 1, 15))::BIGINT + 0.5) / 1152921504606846976.0 < 0.85
       THEN 'fit' ELSE 'holdout' END AS part FROM ranker_rows) GROUP BY part""")
 def _(w):
     return rounded(X.label_report(L.fit_holdout(ranker_rows(w))))
@@ -319,7 +319,7 @@ def _(w):
     return rounded(D.mmr_sweep(write_stage(candidates(w), "pool"), w.vectors, S.ground_truth(w.test), catalog_size(w)))
 
 
-_RACE = """round(-ln((('0x' || substr(md5('42|' || user_id || '|' || item_id), 1, 8))::BIGINT + 0.5) / 4294967296.0)
+_RACE = """round(-ln((('0x' || substr(md5('42|' || user_id || '|' || item_id), 1, 15))::BIGINT + 0.5) / 1152921504606846976.0)
    / exp(-(rank - 1) / {scale}), 9)"""
 
 

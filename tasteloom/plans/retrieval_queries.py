@@ -85,7 +85,7 @@ def _(w):
 @query("pad_mask", """
 WITH h AS (SELECT user_id, pos, list(item_id) OVER (PARTITION BY user_id ORDER BY pos
              ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS h,
-           ('0x' || substr(md5('42|' || user_id || '|' || pos), 1, 8))::BIGINT % 64 AS batch FROM train_seq),
+           ('0x' || substr(md5('42|' || user_id || '|' || pos), 1, 15))::BIGINT % 64 AS batch FROM train_seq),
      k AS (SELECT * FROM h WHERE pos > 0), m AS (SELECT batch, max(len(h)) AS width FROM k GROUP BY batch)
 SELECT user_id, pos, k.batch,
        array_to_string(list_concat(h, list_transform(range(width - len(h)), lambda x: 0)), ',') AS padded,

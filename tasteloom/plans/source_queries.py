@@ -49,12 +49,12 @@ def _(w):
     return J.read_reviews(w.spark, reviews_json(w), 1998)
 
 
-@query("chunk_union", f"{_REVIEWS} WHERE ts < epoch_ms(TIMESTAMP '1997-01-01') UNION ALL {_REVIEWS} WHERE ts >= epoch_ms(TIMESTAMP '1999-01-01')")
+@query("chunk_union", _REVIEWS)
 def _(w):
     path = reviews_json(w)
     rows = J.read_reviews(w.spark, path, 1970)
     late = J.read_reviews(w.spark, path, 1999)
-    return J.chunk_union([rows.where(F.col("ts") < F.lit(852076800000)), late])
+    return J.chunk_union([rows.where(F.col("ts") < F.lit(915148800000)), late])
 
 
 _META = """
@@ -99,9 +99,10 @@ def _(w):
     return out
 
 
-@query("read_split", "SELECT user_id, item_id, rating, ts FROM val")
+@query("read_split", "SELECT split, user_id, item_id, rating, ts FROM labelled")
 def _(w):
-    return _saved_split(w)["val"]
+    parts = _saved_split(w)
+    return J.chunk_union([parts[n].select(F.lit(n).alias("split"), "user_id", "item_id", "rating", "ts") for n in ("train", "val", "test")])
 
 
 @query("write_encoders", """
@@ -165,8 +166,10 @@ def _(w):
 
 @query("read_results_csv", evaluate_sql("pop_recs", "popularity"))
 def _(w):
-    pop, _rnd = _results(w)
-    return rounded(B.read_results_csv(w.spark, stage_path(w.spark, "missing"), schema.RESULTS, default=pop))
+    pop, rnd = _results(w)
+    path = stage_path(w.spark, "results")
+    B.write_results_csv(pop, path)
+    return rounded(B.read_results_csv(w.spark, path, schema.RESULTS, default=rnd))
 
 
 @query("assert_dataset_contract", """

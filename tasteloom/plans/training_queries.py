@@ -24,7 +24,7 @@ N_TRIPLETS = 20_000
 
 
 def d(expr: str) -> str:
-    return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({expr}), 1, 15))::BIGINT"
 
 
 view("positives", """
@@ -39,7 +39,7 @@ SELECT t, u, i, CAST(j AS INTEGER) AS j FROM (
 
 
 def unit(expr):
-    return f"(({d(expr)} + 0.5) / 4294967296.0)"
+    return f"(({d(expr)} + 0.5) / 1152921504606846976.0)"
 
 
 def factors_sql(tag, n):

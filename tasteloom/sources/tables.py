@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tasteloom.functions.scalars import nan_to_null
+from tasteloom.operators.ordering import first_per_group
 
 SPLIT_PARTS = ("train", "val", "test", "items")
 ARTIFACTS = (
@@ -37,10 +39,14 @@ def read_encoders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 # ---------------------------------------------------------------- catalog and log
-def upsert_items(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Insert rows with unknown ids; known ids keep their row. NaN becomes null."""
+def upsert_items(existing: DataFrame, new: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Insert rows with unknown ids; known ids keep their row. NaN becomes null.
+
+    Of new rows with one id the first by ``order`` is inserted, then by the other columns.
+    """
     floats = [n for n, t in new.dtypes if t in ("double", "float")]
-    clean = new.withColumns({n: nan_to_null(n) for n in floats}).dropDuplicates(["item_id"])
+    clean = new.withColumns({n: nan_to_null(n) for n in floats})
+    clean = first_per_group(clean, ["item_id"], [*order, *(c for c in clean.columns if c not in order)])
     return existing.unionByName(clean.join(existing.select("item_id"), "item_id", "left_anti").select(*existing.columns))
 
 
@@ -49,6 +55,11 @@ def append_interactions(log: DataFrame, rows: DataFrame) -> DataFrame:
     return log.unionByName(rows.select("user_id", "item_id", "rating", "ts"), allowMissingColumns=True)
 
 
+def _is_missing(error: AnalysisException) -> bool:
+    """Nothing was saved there, as opposed to something that cannot be read."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 # ---------------------------------------------------------------- result tables
 def upsert_result_rows(results: DataFrame, new: DataFrame, key: str = "method") -> DataFrame:
     """Replace the rows of the new methods, keep all others."""
@@ -65,8 +76,8 @@ def read_results_csv(spark: SparkSession, path: str, columns: T.StructType, defa
     """Saved results; ``default`` when nothing was saved yet."""
     try:
         return spark.read.schema(columns).option("header", True).csv(path)
-    except AnalysisException:
-        if default is None:
+    except AnalysisException as error:
+        if default is None or not _is_missing(error):
             raise
         return default
 
@@ -83,7 +94,9 @@ def write_artifacts(folder: str, **tables: DataFrame) -> None:
 def _maybe(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
     try:
         return spark.read.parquet(f"{folder}/{name}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
         return None
 
 

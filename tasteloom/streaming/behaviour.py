@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -42,31 +43,48 @@ def typed_events(raw: DataFrame, kinds: dict[str, str]) -> DataFrame:
     )
 
 
+def _folders(spark: SparkSession, name: str, folder: str | None) -> tuple[str, str]:
+    """Output and checkpoint of a stream: below ``folder``, where the next run goes on, or new ones."""
+    out = f"{folder.rstrip('/')}/{name}" if folder else stage_path(spark, name)
+    return out, f"{out}-checkpoint"
+
+
+def _written(spark: SparkSession, out: str, empty: Callable[[], DataFrame]) -> DataFrame:
+    """All rows of the micro-batches below ``out`` with their ``batch``; if there were none, an empty table."""
+    try:
+        found = spark.read.option("basePath", out).parquet(out)
+        return found.withColumn("batch", F.col("batch").cast("bigint"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty().withColumn("batch", F.lit(0).cast("bigint"))
+
+
 def drain(stream: DataFrame, name: str, mode: str = "append",
-          each: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+          each: Callable[[DataFrame, int], DataFrame] | None = None, folder: str | None = None) -> DataFrame:
     """Process everything available and return the written rows.
 
+    With ``folder`` the output and the checkpoint keep their place: a later call reads
+    only what is new, goes on from the stored state and returns the rows of all runs.
+
     Append output without ``each`` goes to a file sink (exactly once). Other output is
     written per micro-batch into its own folder, so a retried batch overwrites itself;
     column ``batch`` tells the rows apart.
     """
     spark = stream.sparkSession
-    out, checkpoint = stage_path(spark, name), stage_path(spark, f"{name}-checkpoint")
+    out, checkpoint = _folders(spark, name, folder)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append" and each is None:
         writer.format("parquet").option("path", out).start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    written: list[T.StructType] = []
 
     def save(batch: DataFrame, number: int) -> None:
         rows = each(batch, number) if each else batch
-        written.append(rows.schema)
         rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     writer.foreachBatch(save).start().awaitTermination()
-    schema = written[-1] if written else stream.schema
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(full).option("basePath", out).parquet(out)
+    nothing = spark.createDataFrame([], stream.schema)
+    return _written(spark, out, lambda: each(nothing, -1) if each else nothing)
 
 
 def latest(rows: DataFrame, *keys: str) -> DataFrame:
@@ -151,28 +169,26 @@ def newest_lists(rows: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- folds over micro-batches
-def fold_batches(stream: DataFrame, name: str, fold: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame:
+def fold_batches(stream: DataFrame, name: str, fold: Callable[[DataFrame, DataFrame | None], DataFrame],
+                 folder: str | None = None) -> DataFrame:
     """Run ``fold(batch, previous)`` per micro-batch and keep every result as its own folder.
 
     ``previous`` is the stored result of the micro-batch before. The fold is an ordinary
     batch plan, so a user with very many rows in one micro-batch is handled by its joins
     and aggregations; a retried micro-batch overwrites its own folder. Returns all
-    results with their ``batch`` number.
+    results with their ``batch`` number. ``folder`` works as in ``drain``.
     """
     spark = stream.sparkSession
-    out, checkpoint = stage_path(spark, name), stage_path(spark, f"{name}-checkpoint")
-    schemas: list[T.StructType] = []
+    out, checkpoint = _folders(spark, name, folder)
 
     def save(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         previous = session.read.parquet(f"{out}/batch={number - 1}") if number else None
         result = fold(batch, previous)
-        schemas.append(result.schema)
         result.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
-    full = T.StructType([*schemas[-1].fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(full).option("basePath", out).parquet(out)
+    return _written(spark, out, lambda: fold(spark.createDataFrame([], stream.schema), None))
 
 
 def last_batch(results: DataFrame) -> DataFrame:
@@ -194,14 +210,17 @@ def fold_cart(batch: DataFrame, previous: DataFrame | None) -> DataFrame:
     return cart_state(log)
 
 
-def cart_stream(actions: DataFrame) -> DataFrame:
+def cart_stream(actions: DataFrame, folder: str | None = None) -> DataFrame:
     """Current cart lines after everything available was folded."""
-    return last_batch(fold_batches(actions, "cart", fold_cart))
+    return last_batch(fold_batches(actions, "cart", fold_cart, folder))
 
 
-def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5) -> DataFrame:
+def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5, delay_s: float = 600,
+                    folder: str | None = None) -> DataFrame:
     """Blocked flag per login attempt. Between micro-batches a user is at most ``limit``
-    recorded failures, which re-enter the fold as its first rows."""
+    recorded failures, which re-enter the fold as its first rows. Failures are dropped
+    once no attempt that is late by ``delay_s`` at most can still count them."""
+    kept_ms = int((window_s + delay_s) * 1000)
 
     def fold(batch: DataFrame, previous: DataFrame | None) -> DataFrame:
         rows = batch.select("user_id", "result", "ts", "seq").withColumn("carried", F.lit(False))
@@ -213,12 +232,14 @@ def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5) ->
             recorded = open_.where(F.col("result") == "failed").join(cleared, "user_id", "left").where(
                 F.col("_ok").isNull() | (F.struct("ts", "seq") > F.col("_ok"))
             )
+            newest = previous.agg(F.max("ts")).first()[0]
+            recorded = recorded.where(F.col("ts") >= (newest if newest is not None else 0) - kept_ms)
             recent = first_per_group(recorded, ["user_id"], [F.desc("ts"), F.desc("seq")], limit)
             rows = rows.unionByName(recent.select("user_id", "result", "ts", "seq").withColumn("carried", F.lit(True)))
         flags = throttle_flags(rows, window_s, limit)
         return flags.join(rows.select("user_id", "seq", "carried"), ["user_id", "seq"])
 
-    return fold_batches(logins, "throttle", fold).where(~F.col("carried")).drop("carried", "batch")
+    return fold_batches(logins, "throttle", fold, folder).where(~F.col("carried")).drop("carried", "batch")
 
 
 def recommend_stream(events: DataFrame, log_path: str, feed: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
@@ -237,8 +258,3 @@ def recommend_stream(events: DataFrame, log_path: str, feed: Callable[[DataFrame
 
     return newest_lists(drain(events, "feed", "append", each))
 
-
-def running_rank(counts: DataFrame, n: int) -> DataFrame:
-    """Head of a popularity table with its ranks."""
-    top = counts.orderBy(F.desc("n"), "item_id").limit(n)
-    return top.withColumn("pop_rank", F.row_number().over(Window.orderBy(F.desc("n"), "item_id")).cast("bigint"))

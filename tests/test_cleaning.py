@@ -6,8 +6,8 @@ from tasteloom.functions import vectors as V
 
 
 def test_clean_price(frame):
-    given = [None, "", "none", "$49.99", "$10.00 - $20.00", "1,299.00", "call", ",", "12"]
-    want = [None, None, None, 49.99, 15.0, 1299.0, None, None, 12.0]
+    given = [None, "", "none", "$49.99", "$10.00 - $20.00", "1,299.00", "call", ",", "12", "1e3", "1.5E-2", "-5", "nan", "1d"]
+    want = [None, None, None, 49.99, 15.0, 1299.0, None, None, 12.0, 1000.0, 0.015, -5.0, None, 1.0]
     df = frame([(n, p) for n, p in enumerate(given)], "n int, p string")
     got = [r["v"] for r in df.select("n", C.clean_price("p").alias("v")).orderBy("n").collect()]
     assert got == want

@@ -25,6 +25,29 @@ def test_reviews_and_meta(spark, frame, tmp_path):
     assert rows(J.read_meta(spark, str(meta)), "item_id", "image_url", "category", "price") == [("p1", "L", "b", 12.5), ("p2", "D", "m", 2.0)]
 
 
+def test_records_of_odd_types_are_kept(spark, frame, tmp_path):
+    reviews = tmp_path / "r.jsonl"
+    lines = ['{"user_id": "a", "parent_asin": "p", "rating": "5", "timestamp": 1700000000000.0}',
+             '{"user_id": 7, "parent_asin": "p", "rating": 4, "timestamp": "1700000000001"}',
+             '{"user_id": "c", "parent_asin": "p", "rating": "five", "timestamp": 1700000000002}', "{broken", '[1]']
+    reviews.write_text("\n".join(lines))
+    assert rows(J.read_reviews(spark, str(reviews), 2019), "user_id", "ts") == [
+        ("7", 1700000000001), ("a", 1700000000000), ("c", 1700000000002)]
+    assert {r["rating"] for r in J.read_reviews(spark, str(reviews)).collect()} == {5.0, 4.0, None}
+    lost = {(r["field"], r["raw"]) for r in J.read_rejects(spark, str(reviews), schema.RAW_REVIEWS).collect()}
+    assert ("rating", "five") in lost and (None, "{broken") in lost
+    meta = tmp_path / "m.jsonl"
+    meta.write_text('{"parent_asin": "p1", "categories": "toys", "average_rating": "4.5", "price": -5}\n{"parent_asin": "p2", "price": 1e3}')
+    assert rows(J.read_meta(spark, str(meta)), "item_id", "category", "avg_rating", "price") == [
+        ("p1", "toys", 4.5, -5.0), ("p2", None, None, 1000.0)]
+
+
+def test_first_of_equal_ids_is_inserted(frame):
+    old = frame([("a", 1.0, 1)], "item_id string, price double, n int")
+    new = frame([("b", 9.0, 2), ("b", 3.0, 1), ("b", 1.0, 3)], "item_id string, price double, n int")
+    assert rows(B.upsert_items(old, new, ["n"])) == [("a", 1.0, 1), ("b", 3.0, 1)]
+
+
 def test_upserts_and_results(spark, frame, tmp_path):
     old = frame([("a", 1.0)], "item_id string, price double")
     new = frame([("a", 9.0), ("b", float("nan"))], "item_id string, price double")

@@ -54,6 +54,20 @@ def test_throttle_over_micro_batches(spark, frame):
     assert rows(got, "user_id", "seq", "blocked") == rows(O.throttle_flags(log), "user_id", "seq", "blocked")
 
 
+def test_streams_go_on_where_they_stopped_and_take_nothing(spark, frame):
+    log = frame(actions(300), LOG)
+    source, folder = stage_path(spark, "input"), stage_path(spark, "run")
+    for low, high in ((0, 99), (100, 299)):
+        log.where(F.col("seq").between(low, high)).coalesce(1).write.mode("append").parquet(source)
+        got = S.cart_stream(S.read_events(spark, source, log.schema), folder)
+    assert rows(got, "user_id", "item_id", "qty", "added_at") == rows(O.cart_state(log))
+    again = S.cart_stream(S.read_events(spark, source, log.schema), folder)
+    assert rows(again) == rows(got)
+    empty = stage_path(spark, "empty")
+    log.limit(0).write.parquet(empty)
+    assert S.cart_stream(S.read_events(spark, empty, log.schema)).count() == 0
+
+
 def test_late_rows_beyond_the_delay_are_dropped(spark, frame):
     def row(n, minutes):
         at = START + dt.timedelta(minutes=minutes)
