@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.llm.common import doc_rows
+from tasteloom.llm.common import doc_rows, write_stage
 from tasteloom.llm.labels import labelled_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -122,47 +122,100 @@ def fit_link(rows: np.ndarray, cols: np.ndarray, x: np.ndarray, extra: np.ndarra
     return params[:width], np.concatenate([[raw[0]], raw[0] + np.cumsum(np.exp(raw[1:]))]), float(params[width])
 
 
+def presence(texts: list[str], toxic: list[int]) -> dict[str, list[int]]:
+    """Per feature the number of texts, and of toxic texts, that have it."""
+    found: dict[str, list[int]] = {}
+    for text, y in zip(texts, toxic):
+        for f in {f for w in words_of(text) for f in features_of(w)}:
+            n = found.setdefault(f, [0, 0])
+            n[0] += 1
+            n[1] += y
+    return found
+
+
+def contrast(n, t, toxic: int, clean: int) -> tuple:
+    """How strongly a feature in ``n`` texts, ``t`` of them toxic, parts the two kinds; and the gap of its shares."""
+    gap = t / toxic - (n - t) / clean
+    share = n / (toxic + clean)
+    return gap * gap / (share * (1 - share) + 1e-9), gap
+
+
+def fit_chosen(chosen: list[tuple[str, float]], toxic: np.ndarray, sparse: list[tuple[list[int], list[int], int]],
+               grades: int = 2) -> Model:
+    """The model over ``chosen`` (feature, gap), from each text's (features, counts, number of words)."""
+    leaning = np.array([gap > 0 for _, gap in chosen], dtype=bool)
+    sizes = np.array([n for *_, n in sparse], dtype=np.float64)
+    rows = np.repeat(np.arange(len(sparse)), [len(i) for i, *_ in sparse])
+    cols = np.array([i for own, *_ in sparse for i in own], dtype=np.int64)
+    counts = np.array([c for _, own, _ in sparse for c in own], dtype=np.float64)
+    dense = np.bincount(rows, counts * leaning[cols], len(sparse)) / (1 + sizes)
+    cuts = np.quantile(dense[toxic == 1], np.linspace(0, 1, grades + 1)[1:-1])
+    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, dense, side="right"), 0).astype(np.int64)
+    w, theta, bias = fit_link(rows, cols, value(counts, sizes[rows]), np.log1p(sizes), grade, len(chosen), grades)
+    return Model({f: i for i, (f, _) in enumerate(chosen)}, w, theta, bias)
+
+
+def _nothing_toxic(grades: int) -> Model:
+    return Model({}, np.zeros(0), np.arange(grades) + 20.0, 0.0)
+
+
+def sparse_rows(texts: list[str], features: dict[str, int]) -> list[tuple[list[int], list[int], int]]:
+    reader = Model(features, np.zeros(len(features)), np.zeros(1), 0.0)
+    made = [reader.counts(t) for t in texts]
+    return [(sorted(found), [found[i] for i in sorted(found)], n) for found, n in made]
+
+
 def fit_texts(texts: list[str], toxic: np.ndarray, width: int = 2048, grades: int = 2, least_rows: int = 3) -> Model:
-    """The model of labelled texts; without both kinds of label it calls nothing toxic."""
+    """The model of a few labelled texts; without both kinds of label it calls nothing toxic."""
     n_toxic, n_clean = int(toxic.sum()), int((1 - toxic).sum())
     if not n_toxic or not n_clean:
-        return Model({}, np.zeros(0), np.arange(grades) + 20.0, 0.0)
-    found = [Counter(f for w in words_of(t) for f in features_of(w)) for t in texts]
-    in_toxic, in_all = Counter(), Counter()
-    for counts, y in zip(found, toxic):
-        in_all.update(counts.keys())
-        if y:
-            in_toxic.update(counts.keys())
-    n, scored = len(texts), []
-    for f, a in in_all.items():
-        if a >= least_rows:
-            t = in_toxic[f]
-            gap = t / n_toxic - (a - t) / n_clean
-            scored.append((-gap * gap * n / (a / n * (1 - a / n) + 1e-9) * (n_toxic / n) * (n_clean / n), f, gap))
-    chosen = sorted(scored)[:width]
-    features = {f: i for i, (_, f, _) in enumerate(chosen)}
-    leaning = np.array([gap > 0 for *_, gap in chosen])
-    rows, cols, x, sizes, dense = [], [], [], [], []
-    for r, (counts, text) in enumerate(zip(found, texts)):
-        size = len(words_of(text))
-        own = [(features[f], c) for f, c in counts.items() if f in features]
-        rows += [r] * len(own)
-        cols += [i for i, _ in own]
-        x += [value(c, size) for _, c in own]
-        sizes.append(np.log1p(size))
-        dense.append(sum(c for i, c in own if leaning[i]) / (1 + size))
-    dense = np.array(dense)
-    cuts = np.quantile(dense[toxic == 1], np.linspace(0, 1, grades + 1)[1:-1])
-    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, dense, side="right"), 0).astype(np.int64)
-    w, theta, bias = fit_link(np.array(rows, dtype=np.int64), np.array(cols, dtype=np.int64), np.array(x),
-                              np.array(sizes), grade, len(features), grades)
-    return Model(features, w, theta, bias)
+        return _nothing_toxic(grades)
+    scored = [(*contrast(n, t, n_toxic, n_clean), f) for f, (n, t) in presence(texts, toxic.tolist()).items() if n >= least_rows]
+    chosen = [(f, gap) for _, gap, f in sorted(scored, key=lambda x: (-x[0], x[2]))[:width]]
+    return fit_chosen(chosen, toxic, sparse_rows(texts, {f: i for i, (f, _) in enumerate(chosen)}), grades)
+
 
+def fit(docs: DataFrame, labels: DataFrame, where: Column, most: int = 8_000, label: str = "toxic", width: int = 2048,
+        grades: int = 2, least_rows: int = 3) -> Model:
+    """The model of about ``most`` labelled rows for which ``where`` (over ``doc_id``) holds.
 
-def fit(docs: DataFrame, labels: DataFrame, where: Column, most: int = 20_000, label: str = "toxic", **options) -> Model:
-    """The model of about ``most`` labelled rows for which ``where`` (over ``doc_id``) holds."""
-    rows = labelled_sample(docs, labels, label, where, most).orderBy("doc_id", "y").toArrow()
-    return fit_texts(rows["text"].to_pylist(), rows["y"].to_numpy().astype(np.int64), **options)
+    Features are counted and the chosen ones gathered by Spark; the driver sees the
+    ``width`` chosen features and their counts in the sampled rows.
+    """
+    sample = write_stage(labelled_sample(docs, labels, label, where, most), "toxicity-sample")
+    totals = sample.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
+    if not totals[0] or not totals[1]:
+        return _nothing_toxic(grades)
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, len(part), 500):
+                some = part.slice(at, 500)
+                found = presence(some["text"].to_pylist(), some["y"].to_pylist())
+                yield pa.record_batch([pa.array(found, pa.string()), pa.array([n for n, _ in found.values()], pa.int64()),
+                                       pa.array([t for _, t in found.values()], pa.int64())], ["feature", "n", "t"])
+
+    toxic, clean = totals
+    gap = F.col("t") / toxic - (F.col("n") - F.col("t")) / clean
+    share = F.col("n") / (toxic + clean)
+    counts = sample.mapInArrow(counted, "feature string, n bigint, t bigint").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum("t").alias("t")).filter(F.col("n") >= least_rows)
+    best = counts.select("feature", gap.alias("gap"), (gap * gap / (share * (1 - share) + 1e-9)).alias("force"))
+    chosen = [(r["feature"], r["gap"]) for r in best.orderBy(F.desc("force"), "feature").limit(width).collect()]
+    features = {f: i for i, (f, _) in enumerate(chosen)}
+
+    def gathered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            rows = sparse_rows(part["text"].to_pylist(), features)
+            yield pa.record_batch(
+                [part["doc_id"], part["y"], pa.array([i for i, *_ in rows], pa.list_(pa.int32())),
+                 pa.array([c for _, c, _ in rows], pa.list_(pa.int32())), pa.array([n for *_, n in rows], pa.int64())],
+                ["doc_id", "y", "ids", "counts", "words"])
+
+    rows = sample.mapInArrow(gathered, "doc_id bigint, y int, ids array<int>, counts array<int>, words bigint")
+    rows = rows.orderBy("doc_id", "y").toArrow()
+    sparse = list(zip(rows["ids"].to_pylist(), rows["counts"].to_pylist(), rows["words"].to_pylist()))
+    return fit_chosen(chosen, rows["y"].to_numpy().astype(np.int64), sparse, grades)
 
 
 def grade(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
