@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.config import DEFAULTS
 from tasteloom.operators.ordering import global_index, order_statistics
-from tasteloom.session import write_stage
+from tasteloom.session import drop_stage, write_stage
 
 
 def kcore(df: DataFrame, k_user: int = DEFAULTS.kcore_user, k_item: int = DEFAULTS.kcore_item) -> DataFrame:
@@ -25,7 +25,8 @@ def kcore(df: DataFrame, k_user: int = DEFAULTS.kcore_user, k_item: int = DEFAUL
             # ids below the threshold are never hot, so this side has no skew
             weak = kept.groupBy(key).agg(F.sum("n").alias("_n")).where(F.col("_n") < k).select(key)
             kept = kept.join(weak, key, "left_anti")
-        pairs = write_stage(kept, "kcore")
+        before, pairs = pairs, write_stage(kept, "kcore")
+        drop_stage(before)
         left = pairs.agg(F.sum("n")).first()[0] or 0
         if left == rows:
             break
@@ -38,7 +39,9 @@ def kcore(df: DataFrame, k_user: int = DEFAULTS.kcore_user, k_item: int = DEFAUL
 def recency_cap(df: DataFrame, max_rows: int = DEFAULTS.max_interactions,
                 tie_break: tuple[str, ...] = ("user_id", "item_id", "rating")) -> DataFrame:
     """Most recent ``max_rows`` rows: everything newer than the exact cut timestamp,
-    plus as many rows at the cut as fit, in ``tie_break`` order. No global sort."""
+    plus as many rows at the cut as fit, in ``tie_break`` order. No global sort. The input
+    is read several times, so it is written once first."""
+    df = write_stage(df, "uncapped")
     total = df.count()
     if total <= max_rows:
         return df

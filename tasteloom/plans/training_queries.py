@@ -110,7 +110,8 @@ def _(w):
     return long(users, "u", "user").unionByName(long(items, "i", "item"))
 
 
-def small_bpr(w, epochs=3, dim=16):
+def trained_bpr(w, epochs=4, dim=64):
+    """Four draws per row and epoch, one update per 256 draws."""
     rows, users, items = encoded(w)
     model = B.mf_bpr_fit(rows, users.count(), items.count(), dim=dim, epochs=epochs,
                          triplets_per_epoch=4 * rows.count(), batch_size=256)
@@ -119,7 +120,7 @@ def small_bpr(w, epochs=3, dim=16):
 
 @query("mf_bpr_fit")
 def _(w):
-    model, users, items = small_bpr(w)
+    model, users, items = trained_bpr(w)
     truth = S.filter_known_users(S.ground_truth(w.test), w.train)
     queries = model.query_vectors(users).join(truth.select("user_id").distinct(), "user_id", "left_semi")
     recs = R.recommend_from_vectors(queries, write_stage(model.item_vectors(items), "vectors"), S.seen_items(w.train), 50, normalize=False)
@@ -128,7 +129,7 @@ def _(w):
 
 @query("loss_history")
 def _(w):
-    model, _users, _items = small_bpr(w)
+    model, _users, _items = trained_bpr(w)
     return model.loss_history(w.spark)
 
 

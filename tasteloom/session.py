@@ -51,6 +51,17 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stages/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Delete the files of a table that ``write_stage`` made, once nothing reads it any more."""
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if "/stages/" not in folder:
+        return
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
