@@ -225,10 +225,10 @@ def _(w):
     return long_rank(found, "user_id", "item_id", "score")
 
 
-@query("topn_ivf_kmeans")
+@query("topn_ivf_kmeans", "SELECT user_id, item_id, score, rank FROM retrieved WHERE rank <= 20")
 def _(w):
-    """Cells trained by k-means; no SQL counterpart for the training."""
-    found = R.topn_ivf(user_vectors(w), w.vectors, R.train_cells(w.vectors, 16), 20, nprobe=4)
+    """Cells trained by k-means; with all of them probed the result is exact, wherever they lie."""
+    found = R.topn_ivf(user_vectors(w), w.vectors, R.train_cells(w.vectors, 16), 20, nprobe=16)
     return long_rank(found, "user_id", "item_id", "score")
 
 

@@ -10,8 +10,11 @@ from tasteloom.sources.warehouse import CART_ACTIONS, EVENT_KINDS
 from tasteloom.streaming import behaviour as S
 
 
-def raw_stream(w, parts=4):
-    """The events in ``parts`` files by time, one micro-batch each, so carried state counts."""
+def raw_stream(w, parts=4, late=False):
+    """The events in ``parts`` files by time, one micro-batch each, so carried state counts.
+
+    With ``late`` the rows of the first half come once more, long after their time.
+    """
     table, folder = w.table("events"), stage_path(w.spark, "events")
     low, high = table.agg(F.min("event_id"), F.max("event_id")).first()
     if low is None:
@@ -20,6 +23,8 @@ def raw_stream(w, parts=4):
     for start in range(low, high + 1, step):
         part = table.where(F.col("event_id").between(start, start + step - 1))
         part.coalesce(1).write.mode("append").parquet(folder)
+    if late:
+        table.where(F.col("event_id") < low + (high - low) // 2).coalesce(1).write.mode("append").parquet(folder)
     return S.read_events(w.spark, folder, table.schema, files_per_trigger=1)
 
 
@@ -48,13 +53,22 @@ def _(w):
     return S.drain(S.dedup_views(events(w)), "views").select("user_id", "item_id")
 
 
-@query("stream_event_counts", """
+_COUNTS = """
 SELECT ts // 3600000 * 3600000 AS window_start, event_type, count(*) AS n FROM live_events GROUP BY 1, 2
-HAVING ts // 3600000 * 3600000 + 3600000 <= (SELECT max(ts) FROM live_events) - 600000""")
+HAVING ts // 3600000 * 3600000 + 3600000 <= (SELECT max(ts) FROM live_events) - 600000"""
+
+
+@query("stream_event_counts", _COUNTS)
 def _(w):
     return S.drain(S.event_counts(events(w)), "counts")
 
 
+@query("stream_late_rows", _COUNTS)
+def _(w):
+    """Rows later than the watermark change nothing."""
+    return S.drain(S.event_counts(S.typed_events(raw_stream(w, late=True), EVENT_KINDS)), "late")
+
+
 @query("stream_active_users", """
 SELECT window_start, count(DISTINCT user_id) AS active_users FROM (
   SELECT user_id, (ts // 3600000 - h) * 3600000 AS window_start FROM live_events, range(0, 24) r(h))
