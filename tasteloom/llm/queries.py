@@ -122,12 +122,43 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"), F.concat_ws("/", F.col("source"), F.col("doc_id")))
 
 
-@query("op6_jaccard_join")
+@query("op6_jaccard_join", r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE k >= 0.8 * (nx.n + ny.n - k) - 1e-9),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT e.y, reach.root FROM reach JOIN e ON e.x = reach.doc_id),
+c AS (SELECT doc_id, min(root) AS class_id FROM reach GROUP BY doc_id),
+k AS (SELECT x AS doc_id, count(*) AS links FROM e GROUP BY x)
+SELECT c.doc_id, c.class_id, coalesce(k.links, 0) AS n_links, c.doc_id = c.class_id AS kept FROM c LEFT JOIN k USING (doc_id)""")
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
 
-@query("op2_decontaminate")
+@query("op2_decontaminate", r"""
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+            FROM documents),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+       FROM benchmark),
+ds AS (SELECT doc_id, len(w) AS n, unnest(range(0, len(w) - 4)) AS p,
+              unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM dw WHERE len(w) >= 5),
+its AS (SELECT item_id, len(w) AS size, unnest(range(0, len(w) - 4)) AS place,
+              unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM iw WHERE len(w) >= 5),
+win AS (SELECT DISTINCT doc_id, item_id, size, greatest(0, least(p - place, n - size)) AS start, least(size, n) AS n_words
+        FROM ds JOIN its USING (g)),
+wc AS (SELECT win.doc_id, item_id, size, start, n_words, g, count(*) AS c FROM win JOIN ds
+         ON ds.doc_id = win.doc_id AND ds.p BETWEEN start AND start + n_words - 5 GROUP BY ALL),
+ic AS (SELECT item_id, g, count(*) AS c FROM its GROUP BY ALL),
+shared AS (SELECT doc_id, item_id, size, start, n_words, sum(least(wc.c, ic.c))::DOUBLE AS overlap FROM wc JOIN ic USING (item_id, g)
+           GROUP BY ALL),
+scored AS (SELECT *, overlap / (n_words + size - 8 - overlap) AS similarity FROM shared)
+SELECT doc_id, item_id, round(similarity, 9) AS similarity, start::INTEGER AS start, n_words::INTEGER AS n_words
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n_words) = 1""")
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "start", "n_words")
