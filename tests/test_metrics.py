@@ -61,7 +61,7 @@ def test_random_lists_are_whole_and_unseen(spark):
     items = build_encoder(df, "item_id", "i")
     seen = pdf.groupby("user_id")["item_id"].agg(set)
     recs = B.random_recommend(df, items, df.select("user_id", "item_id").distinct(), 60, draws=0)
-    got = recs.toPandas().groupby("user_id")["item_id"].agg(list)
+    got = recs.toPandas().sort_values("rank").groupby("user_id")["item_id"].agg(list)
     n_items = pdf["item_id"].nunique()
     for user, have in seen.items():
         mine = got.get(user, [])
