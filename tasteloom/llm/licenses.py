@@ -4,13 +4,16 @@ A unit is a line or sentence of a document (a notice), or its whole text (a lice
 file). Words outside the templates weigh as much as the rarest word inside. A unit
 can reach the threshold with a template only if it holds one of the template's
 anchor words, chosen so that without them what remains of the template is too
-short a vector. So texts without any anchor are left out before words are counted,
-without losing a match. A document without a notice of its own takes the
-licence of the nearest directory above it that has a licence file.
+short a vector; and only if the template's words that it holds make up the
+threshold's part of the template's vector. So units that fail either are left out
+before words are counted and shuffled, without losing a match. A document without
+a notice of its own takes the licence of the nearest directory above it that has a
+licence file.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from math import log, sqrt
@@ -46,7 +49,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 # fixed values: words that any text may have, taken as anchors only when a template has nothing else
 COMMON = frozenset("a and any are as at be by for form from in is it may not of on or source terms that the this to under use "
                    "with without work you code can following free person".split())
-THRESHOLD = 0.85
+THRESHOLD = 0.75
 _SPLIT = r"[^\p{L}\p{N}]+"
 _UNIT = r"\n+|(?<=[.!?])\s+"
 
@@ -64,7 +67,7 @@ class Vectors:
         n = len(counts)
         self.idf = {w: log((1 + n) / (1 + k)) + 1 for w, k in seen.items()}
         self.other = log(1 + n) + 1
-        self.vectors, self.anchors = [], set()
+        self.threshold, self.vectors, self.anchors = threshold, [], set()
         for name, c in counts:
             raw = {w: k * self.idf[w] for w, k in c.items()}
             size = sqrt(sum(x * x for x in raw.values()))
@@ -78,16 +81,47 @@ class Vectors:
                 rest -= x * x
 
 
-def _table(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+def _literal(rows: list[dict], schema: str) -> Column:
+    """A constant array of structs; one literal, however many rows."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+
+
+def _table(spark: SparkSession, schema: str, rows: list[dict]) -> DataFrame:
     """A small table of literals."""
-    return spark.range(1).select(F.inline(F.array(*(
-        F.struct(*(F.lit(v).alias(c) for c, v in zip(names, row))) for row in rows))))
+    return spark.range(1).select(F.inline(_literal(rows, schema)))
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), _SPLIT), lambda w: w != "")
 
 
+def within_reach(words: Column, vectors: Vectors) -> Column:
+    """Whether the words of a unit that a template has make up enough of the template to reach the threshold.
+
+    A cosine is at most the length of the template's unit vector on the words that
+    the unit has (Cauchy and Schwarz), so nothing that matches is refused. ``need``
+    is the least number of words that can be enough.
+    """
+    enough, rows = vectors.threshold ** 2 * (1 - 1e-9), []
+    for _, v in vectors.vectors:
+        parts = sorted(((x * x, w) for w, x in v.items()), reverse=True)
+        total, need = 0.0, 0
+        while need < len(parts) and total < enough:
+            total += parts[need][0]
+            need += 1
+        rows.append({"need": need, "words": [w for _, w in parts], "parts": [{"w": w, "x": x} for x, w in parts]})
+    templates = _literal(rows, "need:int,words:array<string>,parts:array<struct<w:string,x:double>>")
+    vocabulary = F.array(*map(F.lit, sorted({w for _, v in vectors.vectors for w in v})))
+
+    def reaches(t: Column, known: Column) -> Column:
+        mass = F.aggregate(t["parts"], F.lit(0.0), lambda m, p: m + F.when(F.array_contains(known, p["w"]), p["x"]).otherwise(0.0))
+        return (F.size(known) >= t["need"]) & (mass >= enough)
+
+    known = F.array_intersect(words, vocabulary)
+    return F.exists(F.array(known), lambda k: F.exists(templates, lambda t: (F.size(k) >= t["need"]) & F.exists(
+        F.array(F.array_intersect(t["words"], k)), lambda own: reaches(t, own))))
+
+
 def match_units(units: DataFrame, vectors: Vectors, threshold: float) -> DataFrame:
     """``doc_id, key, unit, license, score``: the best template of each unit whose cosine reaches ``threshold``.
 
@@ -96,11 +130,12 @@ def match_units(units: DataFrame, vectors: Vectors, threshold: float) -> DataFra
     spark = units.sparkSession
     terms = units.select("doc_id", "key", "unit", F.explode(words_of(F.col("text"))).alias("word"))
     terms = terms.groupBy("doc_id", "key", "unit", "word").agg(F.count("*").alias("tf"))
-    idf = _table(spark, ("word", "idf"), sorted(vectors.idf.items()))
+    idf = _table(spark, "word:string,idf:double", [{"word": w, "idf": x} for w, x in sorted(vectors.idf.items())])
     terms = terms.join(F.broadcast(idf), "word", "left").select(
         "doc_id", "key", "unit", "word", (F.col("tf") * F.coalesce("idf", F.lit(vectors.other))).alias("w"))
-    entries = [(f"{n:04d}", name, w, x) for n, (name, v) in enumerate(vectors.vectors) for w, x in sorted(v.items())]
-    templates = _table(spark, ("template", "license", "word", "x"), entries)
+    entries = [{"template": n, "license": name, "word": w, "x": x}
+               for n, (name, v) in enumerate(vectors.vectors) for w, x in sorted(v.items())]
+    templates = _table(spark, "template:int,license:string,word:string,x:double", entries)
     size = terms.groupBy("doc_id", "key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
     dots = terms.join(F.broadcast(templates), "word").groupBy("doc_id", "key", "unit", "template", "license").agg(
         F.sum(F.col("w") * F.col("x")).alias("dot"))
@@ -137,6 +172,7 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
     notices = some.select("doc_id", "key", F.posexplode(F.split("text", _UNIT)).alias("unit", "text")).filter(
         anchored("text"))
     units = notices.unionByName(some.select("doc_id", "key", F.lit(-1).alias("unit"), "text"))
+    units = units.filter(within_reach(words_of(F.col("text")), vectors))
     found = match_units(units.dropDuplicates(["doc_id", "key", "unit"]), vectors, threshold)
     own = found.groupBy("doc_id", "key").agg(
         F.min(F.struct(F.when(F.col("unit") < 0, 0).otherwise(1).alias("part"), (-F.col("score")).alias("less"), "license")).alias("b"),

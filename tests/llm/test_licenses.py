@@ -60,3 +60,15 @@ def test_inheritance_nulls_and_repeats(spark):
         (5, None, None), (6, "MIT", "inherited"), (7, None, None), (None, "Apache-2.0", "notice"), (8, None, None), (9, None, None),
         (10, "Apache-2.0", "inherited")])
     assert licenses.scan(docs.limit(0), F.col("path")).collect() == []
+
+
+def test_notices_a_little_off_the_templates(spark):
+    texts = {"CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0 by the authors.",
+             "Apache-2.0": "Licensed under the Apache License, Version 2.0; see the LICENSE file.",
+             "MIT": "The code is licensed under the MIT License.",
+             "GPL-3.0": "This program is free software: you can redistribute it and/or modify"}
+    docs = spark.createDataFrame([(n, "words before the notice\n" + t + "\nmore words of no use to anyone here", name)
+                                  for n, (name, t) in enumerate(texts.items())], "doc_id bigint, text string, name string")
+    got = {(r.doc_id, r.license, r.n_notices) for r in licenses.scan(docs, F.concat_ws("/", F.lit("d"), "doc_id")).collect()}
+    assert got == {(n, name, 1) for n, name in enumerate(texts)}
+    assert licenses.THRESHOLD == 0.75
