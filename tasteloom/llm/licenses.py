@@ -1,7 +1,12 @@
 """Licence scans: notices and licence files by TF-IDF cosine to templates, then inheritance down directories.
 
-A unit is a line or sentence of a document (a notice), or its whole text (a licence
-file). Words outside the templates weigh as much as the rarest word inside. A unit
+A unit is a line or sentence of a document (a notice), its whole text (a licence
+file), or a window over its words of a template's length, laid where three words in
+a row of the template stand, aligned with them (a notice wrapped over lines, with
+or without comment marks). Windows have templates of up to ``WINDOW`` words: the
+notices, headers of source files and the short licences. The long licences are
+compared with whole texts and lines only. Weights come from the notices; words
+outside them weigh as much as the rarest word inside. A unit
 can reach the threshold with a template only if it holds one of the template's
 anchor words, chosen so that without them what remains of the template is too
 short a vector; and only if the template's words that it holds make up the
@@ -17,6 +22,7 @@ import json
 import re
 from collections import Counter
 from math import log, sqrt
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +52,27 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+# fixed values: more templates, whose words do not change the weights: notices, headers of source files, whole licences
+HEADERS: tuple[tuple[str, str], ...] = (
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+                   "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                   "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+                   "See the License for the specific language governing permissions and limitations under the License."),
+    *((name, f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public "
+             f"License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+             f"later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+             f"the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License "
+             "for more details.")
+      for name, what, kind, version in (("GPL-3.0", "program", "", "3"), ("GPL-2.0", "program", "", "2"),
+                                        ("LGPL-3.0", "library", "Lesser ", "3"), ("LGPL-2.1", "library", "Lesser ", "2.1"))),
+)
+_TEXTS = Path(__file__).with_name("licence_texts")
+BODIES: tuple[tuple[str, str], ...] = tuple((p.stem, p.read_text("utf-8")) for p in sorted(_TEXTS.glob("*.txt")))
+WINDOW = 400
 # fixed values: words that any text may have, taken as anchors only when a template has nothing else
 COMMON = frozenset("a and any are as at be by for form from in is it may not of on or source terms that the this to under use "
                    "with without work you code can following free person".split())
@@ -61,15 +88,20 @@ def _words(text: str) -> list[str]:
 class Vectors:
     """Unit vectors of the templates, the weights of their words, and the anchor words for a threshold."""
 
-    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD, more=HEADERS + BODIES):
         counts = [(name, Counter(_words(text))) for name, text in templates]
         seen = Counter(w for _, c in counts for w in c)
         n = len(counts)
         self.idf = {w: log((1 + n) / (1 + k)) + 1 for w, k in seen.items()}
         self.other = log(1 + n) + 1
         self.threshold, self.vectors, self.anchors = threshold, [], set()
-        for name, c in counts:
-            raw = {w: k * self.idf[w] for w, k in c.items()}
+        self.places: dict[str, set[tuple[int, int]]] = {}  # three words in a row: where they stand in templates of how many words
+        for _, text in (*templates, *more):
+            own = _words(text)
+            for at in range(len(own) - 2 if len(own) <= WINDOW else 0):
+                self.places.setdefault(" ".join(own[at: at + 3]), set()).add((at, len(own)))
+        for name, c in counts + [(name, Counter(_words(text))) for name, text in more]:
+            raw = {w: k * self.idf.get(w, self.other) for w, k in c.items()}
             size = sqrt(sum(x * x for x in raw.values()))
             vector = {w: x / size for w, x in raw.items()}
             self.vectors.append((name, vector))
@@ -95,6 +127,31 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), _SPLIT), lambda w: w != "")
 
 
+def windows_of(words: Column, vectors: Vectors) -> Column:
+    """Array of (start, size, text): the windows laid where three words of a template stand."""
+    rows = [{"g": g, "p": [{"at": a, "size": n} for a, n in sorted(p)]} for g, p in sorted(vectors.places.items())]
+    places = F.map_from_entries(_literal(rows, "g:string,p:array<struct<at:int,size:int>>"))
+    grams = sorted(vectors.places)
+
+    def laid(w: Column) -> Column:
+        found = F.filter(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0))), lambda i: F.struct(
+            i.alias("i"), F.array_join(F.slice(w, i + 1, 3), " ").alias("g"))), lambda h: h["g"].isin(grams))
+        starts = F.array_distinct(F.flatten(F.transform(found, lambda h: F.transform(F.element_at(places, h["g"]), lambda p: F.struct(
+            F.greatest(F.lit(0), F.least(h["i"] - p["at"], F.size(w) - p["size"])).alias("start"), p["size"].alias("size"))))))
+        return F.transform(starts, lambda s: F.struct(
+            s["start"].alias("start"), s["size"].alias("size"), F.array_join(F.slice(w, s["start"] + 1, s["size"]), " ").alias("text")))
+
+    return F.transform(F.array(words), laid)[0]
+
+
+def _groups(spans: Column) -> Column:
+    """How many groups spans (start, stop) make, those that overlap being in one."""
+    state = F.struct(F.lit(-1).alias("stop"), F.lit(0).alias("n"))
+    return F.aggregate(F.array_sort(spans), state, lambda s, p: F.struct(
+        F.greatest(s["stop"], p["stop"]).alias("stop"), (s["n"] + F.when(p["start"] >= s["stop"], 1).otherwise(0)).alias("n")),
+        lambda s: s["n"])
+
+
 def within_reach(words: Column, vectors: Vectors) -> Column:
     """Whether the words of a unit that a template has make up enough of the template to reach the threshold.
 
@@ -109,12 +166,15 @@ def within_reach(words: Column, vectors: Vectors) -> Column:
         while need < len(parts) and total < enough:
             total += parts[need][0]
             need += 1
-        rows.append({"need": need, "words": [w for _, w in parts], "parts": [{"w": w, "x": x} for x, w in parts]})
-    templates = _literal(rows, "need:int,words:array<string>,parts:array<struct<w:string,x:double>>")
+        same = {}
+        for x, w in parts:
+            same.setdefault(round(x, 15), []).append(w)  # words that weigh alike are counted together
+        rows.append({"need": need, "words": [w for _, w in parts], "parts": [{"w": w, "x": x} for x, w in same.items()]})
+    templates = _literal(rows, "need:int,words:array<string>,parts:array<struct<w:array<string>,x:double>>")
     vocabulary = F.array(*map(F.lit, sorted({w for _, v in vectors.vectors for w in v})))
 
     def reaches(t: Column, known: Column) -> Column:
-        mass = F.aggregate(t["parts"], F.lit(0.0), lambda m, p: m + F.when(F.array_contains(known, p["w"]), p["x"]).otherwise(0.0))
+        mass = F.aggregate(t["parts"], F.lit(0.0), lambda m, p: m + p["x"] * F.size(F.array_intersect(p["w"], known)))
         return (F.size(known) >= t["need"]) & (mass >= enough)
 
     known = F.array_intersect(words, vocabulary)
@@ -148,7 +208,7 @@ def match_units(units: DataFrame, vectors: Vectors, threshold: float) -> DataFra
     return best.select("doc_id", "key", "unit", F.col("b.license").alias("license"), (-F.col("b.less")).alias("score"))
 
 
-def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float = THRESHOLD, more=HEADERS + BODIES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, path, license, found, score, n_notices``.
 
     ``path`` (over the columns of ``docs``) names the document's place, directories
@@ -157,8 +217,10 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
     first by name. A directory with several licence files has that of the closest.
     Null texts are empty, and have no notice; a null path has no directory to
     inherit from. Rows that repeat an id are scanned each by its own text.
+    ``n_notices`` counts lines and sentences; where none of them matches, the places
+    of windows that do, those that overlap being one.
     """
-    vectors = Vectors(templates, threshold)
+    vectors = Vectors(templates, threshold, more)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), path.cast("string").alias("path"),
                        docs["text"].cast("string").alias("text")).withColumn("text", text_or_empty())
     rows = rows.select("doc_id", "path", "text", F.xxhash64("text").alias("key"),
@@ -172,11 +234,20 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
     notices = some.select("doc_id", "key", F.posexplode(F.split("text", _UNIT)).alias("unit", "text")).filter(
         anchored("text"))
     units = notices.unionByName(some.select("doc_id", "key", F.lit(-1).alias("unit"), "text"))
+    laid = some.select("doc_id", "key", F.explode(windows_of(words_of(F.col("text")), vectors)).alias("l"))
+    # a window's number tells its place and size
+    windows = laid.select("doc_id", "key", (-2 - (F.col("l.start").cast("bigint") * (WINDOW + 1) + F.col("l.size"))).alias("unit"), "l.text")
+    units = units.withColumn("unit", F.col("unit").cast("bigint")).unionByName(windows)
     units = units.filter(within_reach(words_of(F.col("text")), vectors))
     found = match_units(units.dropDuplicates(["doc_id", "key", "unit"]), vectors, threshold)
+    number = -2 - F.col("unit")
+    size = (number % (WINDOW + 1)).cast("int")
+    start = ((number - size) / (WINDOW + 1)).cast("int")
     own = found.groupBy("doc_id", "key").agg(
-        F.min(F.struct(F.when(F.col("unit") < 0, 0).otherwise(1).alias("part"), (-F.col("score")).alias("less"), "license")).alias("b"),
-        F.count_if(F.col("unit") >= 0).alias("n_notices"))
+        F.min(F.struct(F.when(F.col("unit") == -1, 0).otherwise(1).alias("part"), (-F.col("score")).alias("less"), "license")).alias("b"),
+        F.count_if(F.col("unit") >= 0).alias("lines"), _groups(F.collect_list(F.when(F.col("unit") < -1, F.struct(
+            start.alias("start"), (start + size).alias("stop"))))).alias("places"))
+    own = own.withColumn("n_notices", F.when(F.col("lines") > 0, F.col("lines")).otherwise(F.col("places")))
     own = own.select(F.col("doc_id").alias("o_doc"), F.col("key").alias("o_key"), F.col("b.license").alias("license"),
                      F.when(F.col("b.part") == 0, "file").otherwise("notice").alias("found"), (-F.col("b.less")).alias("score"), "n_notices")
     light = rows.select("doc_id", "path", "dir", "key")

@@ -72,3 +72,38 @@ def test_notices_a_little_off_the_templates(spark):
     got = {(r.doc_id, r.license, r.n_notices) for r in licenses.scan(docs, F.concat_ws("/", F.lit("d"), "doc_id")).collect()}
     assert got == {(n, name, 1) for n, name in enumerate(texts)}
     assert licenses.THRESHOLD == 0.75
+
+
+def test_wrapped_headers_and_licence_files(spark):
+    bodies = dict(licenses.BODIES)
+    code = "\nint main(int argc, char **argv) {\n  return run(argc, argv);\n}\n" * 5
+    gpl = """/* frob.c - frobnicate
+ * Copyright (C) 2020 Some Body
+ *
+ * This program is free software: you can
+ * redistribute it and/or modify it under the
+ * terms of the GNU General Public License as
+ * published by the Free Software Foundation,
+ * either version 3 of the License, or (at your
+ * option) any later version.
+ */""" + code
+    bsd = "".join(f"# {line}\n" for line in ("Copyright Some Body. Redistribution and use in", "source and binary forms, with or", "without modification, are permitted",
+                                            "provided that the following", "conditions are met:")) + code
+    rows = [(1, "The MIT License\n\nCopyright (c) 2020 Some Body\n\n" + bodies["MIT"], "m/LICENSE"), (2, code, "m/src/x.c"),
+            (3, gpl, "g/frob.c"), (4, bsd, "b/x.py"), (5, "SPDX-License-Identifier: MPL-2.0", "p/x"), (6, code, "g/y.c"),
+            *((10 + n, text, f"l{n}/COPYING") for n, (_, text) in enumerate(licenses.BODIES)),
+            *((50 + n, code, f"l{n}/x.c") for n in range(len(bodies)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, path string")
+    got = {r.doc_id: (r.license, r.found) for r in licenses.scan(docs, F.col("path")).collect()}
+    assert len(bodies) >= 8
+    assert got == {1: ("MIT", "file"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "notice"), 4: ("BSD-3-Clause", "notice"),
+                   5: ("MPL-2.0", "file"), 6: (None, None),
+                   **{10 + n: (name, "file") for n, (name, _) in enumerate(licenses.BODIES)},
+                   **{50 + n: (name, "inherited") for n, (name, _) in enumerate(licenses.BODIES)}}
+
+
+def test_wrapped_notices_are_counted_by_place(spark):
+    wrapped = "This work\nis licensed\nunder the\nGNU General\nPublic\nLicense, version\n3.\n"
+    docs = spark.createDataFrame([(1, wrapped + "some other words in between " * 9 + "\n" + wrapped)], "doc_id bigint, text string")
+    r = licenses.scan(docs, F.lit("a/b")).first()
+    assert (r.license, r.found, r.n_notices) == ("GPL-3.0", "notice", 2)
