@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from tasteloom.llm.common import doc_rows, text_or_empty, write_stage
 
 BLOCKS = 6
-RADIUS = 11
+# a word exchanged at an end costs one shingle, so up to a ninth of the words may differ at 0.8: their fingerprints are
+# some 10 bits apart, seldom more than 17
+RADIUS = 17
 _BROADCAST_ROWS = 2_000_000  # most rows of (shingle, place, size) that are sent to every executor: some 48 MB
 _WORD_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -78,7 +80,7 @@ def block_keys(fingerprint: Column, flips: int) -> Column:
     return F.array(*keys)
 
 
-def near_fingerprints(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_fingerprints(left: DataFrame, right: DataFrame, radius: int = 11) -> DataFrame:
     """Pairs of rows of ``left`` (with ``fp``) and ``right`` (with ``item_fp``) within ``radius`` bits, each once per block.
 
     ``right`` is the side with the variants, so it should be the smaller one.

@@ -102,3 +102,18 @@ def test_small_cases(spark):
     got = sorted(((r.doc_id, r.item_id, r.similarity, r.start) for r in decontaminate.find(docs, items).collect()), key=str)
     assert got == sorted(((d, i, 1.0, s) for d, s in ((1, 30_000), (None, 0), (6, 0)) for i in (1, 4)), key=str)
     assert decontaminate.find(docs.limit(0), items).collect() == decontaminate.find(docs, items.limit(0)).collect() == []
+
+
+def test_passages_cut_at_an_end(spark):
+    draw = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items, docs = [], []
+    for i in range(400):
+        w = [draw.choice(vocabulary) for _ in range(draw.choice([22, 31, 40, 49]))]
+        items.append((i, " ".join(w)))
+        most = (len(w) - 4) // 9  # words that may differ at 0.8
+        new = [draw.choice(vocabulary) for _ in range(most)]
+        docs.append((i, " ".join(w[:-most] + new if i % 2 else new + w[most:])))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(got & {(i, i) for i in range(400)}) >= 397
