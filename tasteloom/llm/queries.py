@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import bpe, decontaminate, exact_dedup, jaccard_join, language, licenses, ppm, quality, secret_scan, toxicity
+from tasteloom.llm import (bpe, decontaminate, exact_dedup, jaccard_join, language, licenses, ppm, quality, secret_scan,
+                           tensor_minhash, toxicity)
 from tasteloom.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +163,24 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "start", "n_words")
+
+
+@query("op13_minhash_dedup", r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+rare AS (SELECT s.doc_id, s.g, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY f.f, s.g) AS place
+         FROM s JOIN n USING (doc_id) JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) f USING (g)),
+pre AS (SELECT doc_id, g FROM rare WHERE place <= n - ceil(0.8 * n - 1e-9) + 1),
+c AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM pre a JOIN pre b ON a.g = b.g AND a.doc_id < b.doc_id),
+p AS (SELECT c.x, c.y, count(*) AS k FROM c JOIN s a ON a.doc_id = c.x JOIN s b ON b.doc_id = c.y AND b.g = a.g GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT e.y, reach.root FROM reach JOIN e ON e.x = reach.doc_id),
+m AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, m.doc_id = m.component_id AS kept FROM m LEFT JOIN n USING (doc_id)""")
+def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return tensor_minhash.dedup(table(spark, folder, "documents"))
