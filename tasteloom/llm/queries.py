@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import (bpe, decontaminate, exact_dedup, jaccard_join, language, licenses, ppm, quality, secret_scan,
-                           tensor_minhash, toxicity)
+from tasteloom.llm import (bpe, decontaminate, exact_dedup, jaccard_join, language, lexical_search, licenses, ppm, quality,
+                           secret_scan, spelling, tensor_minhash, toxicity)
 from tasteloom.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,53 @@ m AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
 SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, m.doc_id = m.component_id AS kept FROM m LEFT JOIN n USING (doc_id)""")
 def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return tensor_minhash.dedup(table(spark, folder, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op12_spelling", rf"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS w, count(*) AS c FROM runs GROUP BY ALL),
+crc AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8),
+          lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS steps),
+bytes AS (SELECT low.*, flatten(list_transform(range(1, length(doc_id || ':' || w) + 1), lambda i:
+            CASE WHEN unicode(substr(doc_id || ':' || w, i, 1)) < 128 THEN [unicode(substr(doc_id || ':' || w, i, 1))::BIGINT]
+                 ELSE [195, unicode(substr(doc_id || ':' || w, i, 1))::BIGINT - 64] END)) AS b FROM low WHERE length(w) >= 5),
+hashed AS (SELECT w, c, xor(list_reduce([4294967295] || b, lambda x, y: xor(x >> 8, steps[(xor(x, y) & 255) + 1])), 4294967295) AS h
+           FROM bytes, crc),
+kept AS (SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, c
+         FROM hashed),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, p, left(word, p::INT - 1) || substr(word, p::INT + 1) AS rest
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM v)),
+one AS (SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+        UNION SELECT cut.word, v.word FROM cut JOIN v ON v.word = cut.rest
+        UNION SELECT v.word, cut.word FROM cut JOIN v ON v.word = cut.rest),
+near AS (SELECT x AS word, count(*) AS n_near, first(y ORDER BY n DESC, y) AS best, max(n) AS best_n
+         FROM one JOIN v ON v.word = y GROUP BY x),
+known AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+                 CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM v LEFT JOIN near USING (word)),
+path AS (SELECT word, word AS at FROM known UNION ALL SELECT path.word, form FROM path JOIN known ON known.word = path.at WHERE form IS NOT NULL)
+SELECT k.word, k.form, path.at AS root, k.n, k.n_near, k.form_n
+FROM known k JOIN path ON path.word = k.word JOIN known e ON e.word = path.at AND e.form IS NULL""")
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(table(spark, folder, "documents"))
+
+
+@query("op11_lexical_search", rf"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+')) AS term
+           FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+')) AS term
+      FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+           FROM i JOIN tf USING (term) JOIN w USING (term) JOIN size USING (doc_id), whole GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50""")
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
