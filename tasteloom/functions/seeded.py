@@ -7,6 +7,8 @@ reproduce them.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,3 +32,9 @@ def draw_below(limit: Column | int, seed: int | str, *keys: Column | str) -> Col
     """Uniform integer in [0, limit)."""
     bound = limit if isinstance(limit, Column) else F.lit(int(limit))
     return F.pmod(draw_int(seed, *keys), bound.cast("bigint"))
+
+
+def unit_draw(seed: int | str, *keys) -> float:
+    """``draw_unit`` of one row, outside Spark."""
+    digest = hashlib.md5("|".join(map(str, (seed, *keys))).encode()).hexdigest()
+    return (int(digest[:_DIGITS], 16) + 0.5) / _SPAN
