@@ -198,7 +198,7 @@ def _(w):
 
 def small_ranker(w, rounds=4):
     rows = write_stage(L.fit_holdout(ranker_rows(w)), "ranker")
-    return L.lambdamart_fit(rows, rounds=rounds, min_rows=20, max_depth=4), rows
+    return L.lambdamart_fit(rows, rounds=rounds, min_rows=20, leaves=15), rows
 
 
 @query("lambdamart_fit")
@@ -214,15 +214,65 @@ def _(w):
     return small_ranker(w)[0].importance_table(w.spark)
 
 
-@query("rerank")
+@query("rerank_fitted")
 def _(w):
     model, rows = small_ranker(w)
     return long_rank(L.rerank(model.score(rows), "ranker_score", 10), "user_id", "item_id", "score")
 
 
-@query("ablation_table")
+# an ensemble with stated splits and values, for what follows the fit: (feature, threshold, left, right) or a value
+STATED_TREES = (
+    ("retriever_score", 0.125, ("item_pop", 29.5, -0.25, 0.125), ("cat_match", 0.5, 0.25, ("brand_match", 0.5, 0.5, 0.75))),
+    ("item_pop", 24.5, ("user_activity", 33.5, -0.0625, 0.03125), ("retriever_score", 0.25, 0.0625, 0.375)),
+    ("user_activity", 40.5, -0.015625, ("item_pop", 31.5, 0.0078125, 0.046875)),
+)
+
+
+def stated_ranker():
+    trees = []
+    for spec in STATED_TREES:
+        tree = L.Tree()
+
+        def add(part, tree=tree):
+            at = tree.add()
+            if not isinstance(part, tuple):
+                tree.value[at], tree.leaf[at] = part, sum(1 for n in tree.leaf if n >= 0)
+                return at
+            tree.feature[at], tree.threshold[at] = X.FEATURES.index(part[0]), part[1]
+            tree.left[at], tree.right[at] = add(part[2]), add(part[3])
+            return at
+
+        add(spec)
+        trees.append(tree)
+    return L.LambdaMart(trees, {}, [])
+
+
+def _tree_sql(part) -> str:
+    if not isinstance(part, tuple):
+        return f"{part}::DOUBLE"
+    return f"CASE WHEN {part[0]} <= {part[1]} THEN {_tree_sql(part[2])} ELSE {_tree_sql(part[3])} END"
+
+
+STATED_SCORE = " + ".join(_tree_sql(t) for t in STATED_TREES)
+view("stated_ranked", f"""
+SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+FROM (SELECT user_id, item_id, {STATED_SCORE} AS score FROM features)""")
+view("retrieved_lists", "SELECT user_id, item_id, rank FROM candidates WHERE rank <= 50")
+view("stated_lists", "SELECT user_id, item_id, rank FROM stated_ranked WHERE rank <= 50")
+
+
+@query("rerank", f"""
+SELECT user_id, item_id, score, rank FROM (
+  SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+  FROM (SELECT user_id, item_id, {STATED_SCORE} AS score FROM ranker_rows)) WHERE rank <= 10""")
 def _(w):
-    model, _rows = small_ranker(w)
+    return long_rank(L.rerank(stated_ranker().score(ranker_rows(w)), "ranker_score", 10), "user_id", "item_id", "score")
+
+
+@query("ablation_table", "SELECT method, ndcg_10, coverage_50 FROM (" + evaluate_sql("retrieved_lists", "retrieval")
+       + ") UNION ALL SELECT method, ndcg_10, coverage_50 FROM (" + evaluate_sql("stated_lists", "retrieval + ranker") + ")")
+def _(w):
+    model = stated_ranker()
     cands = write_stage(candidates(w), "cands")
     scored = model.score(X.featurize(cands.select("user_id", "item_id", F.col("score").alias("retriever_score")), store(w)))
     truth, size = S.ground_truth(w.test), catalog_size(w)

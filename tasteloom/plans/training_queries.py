@@ -161,12 +161,34 @@ def _long(df, key):
     return df.select(key, F.posexplode("vec").alias("d", "x")).select(key, F.col("d").cast("bigint").alias("d"), r6("x"))
 
 
-@query("item_tower")
+def tower_views(tower: str, rows: str, key: str, hidden: int = 128) -> None:
+    """Views of one tower's forward pass over ``rows`` (key, vec), with the drawn starting weights."""
+    def draws(part: str, place: str, inputs: int) -> str:
+        return f"(2 * {unit(f"'42|{tower}|{part}|' || ({place})")} - 1) / sqrt({inputs})"
+
+    for layer, inputs, outputs in ((1, DIM, hidden), (2, hidden, DIM)):
+        view(f"{tower}_layer{layer}", f"""
+SELECT c, list({draws(f"w{layer}", f"r * {outputs} + c", inputs)} ORDER BY r) AS w,
+       any_value({draws(f"b{layer}", "c", inputs)}) AS b FROM range({inputs}) x(r), range({outputs}) y(c) GROUP BY c""")
+    view(f"{tower}_hidden", f"""
+SELECT {key}, list(greatest(list_inner_product(vec, w) + b, 0) ORDER BY c) AS h FROM {rows}, {tower}_layer1 GROUP BY {key}""")
+    view(f"{tower}_out", f"SELECT {key}, c AS d, list_inner_product(h, w) + b AS y FROM {tower}_hidden, {tower}_layer2")
+    view(f"{tower}_units_out", f"SELECT {key}, d, y / greatest(sqrt(sum(y * y) OVER (PARTITION BY {key})), 1e-12) AS y FROM {tower}_out")
+
+
+tower_views("item", "vectors", "item_id")
+tower_views("user", "user_vecs", "user_id")
+
+
+@query("item_tower", "SELECT item_id, d, round(y, 6) AS x FROM item_units_out")
 def _(w):
     return _long(T.apply_tower(w.vectors, "item_id", T.Weights.initial(DIM, 128, 42), "item"), "item_id")
 
 
-@query("user_tower")
+@query("user_tower", """
+SELECT p.user_id, p.d, round(coalesce(y, 0), 6) AS x
+FROM (SELECT user_id, d FROM (SELECT DISTINCT user_id FROM users), range(64) r(d)) p
+LEFT JOIN user_units_out t ON t.user_id = p.user_id AND t.d = p.d""")
 def _(w):
     towers = T.apply_tower(user_vectors(w), "user_id", T.Weights.initial(DIM, 128, 42), "user")
     return _long(T.zero_for_empty(w.users, towers, DIM), "user_id")
@@ -174,8 +196,7 @@ def _(w):
 
 def small_towers(w, epochs=2, dim=16, temperature=0.05):
     rows, users, items = encoded(w)
-    model = T.two_tower_fit(rows, items.count(), dim=dim, hidden=32, lr=0.01, epochs=epochs, batch_size=1024,
-                            steps_per_epoch=4, temperature=temperature)
+    model = T.two_tower_fit(rows, items.count(), dim=dim, hidden=32, lr=0.01, epochs=epochs, temperature=temperature)
     return model, rows, items
 
 
@@ -220,7 +241,7 @@ def _(w):
 @query("recommend_batch")
 def _(w):
     rows = write_stage(L.fit_holdout(ranker_rows(w)), "ranker")
-    ranker = L.lambdamart_fit(rows, rounds=2, min_rows=20, max_depth=4)
+    ranker = L.lambdamart_fit(rows, rounds=2, min_rows=20, leaves=15)
     models = FeedModels(popularity_head(w.train, 60), w.vectors, None, ranker, feature_store(w.train, w.items))
     feed = recommend_batch(w.users, w.live_events, w.items, models, n=10, mmr_lambda=0.7)
     return feed.withColumn("rank", F.col("rank").cast("bigint"))

@@ -73,7 +73,7 @@ def test_bpr_learns_groups(spark, encoded):
 
 
 def test_two_towers_learn_groups(spark, encoded):
-    model = T.two_tower_fit(encoded, 60, dim=8, hidden=16, lr=0.02, epochs=6, batch_size=128, temperature=0.2, steps_per_epoch=5)
+    model = T.two_tower_fit(encoded, 60, dim=8, hidden=16, lr=0.02, epochs=6, batch_size=32, temperature=0.2, shard_samples=330)
     losses = [h["loss"] for h in model.history]
     assert losses[-1] < losses[0] - 0.1
     items = {r["item_id"]: np.array(r["vec"]) for r in model.item_vectors().collect()}
@@ -87,3 +87,48 @@ def test_two_towers_learn_groups(spark, encoded):
     assert np.allclose(again.flat(), model.weights.flat())
     zero = T.zero_for_empty(spark.range(1).withColumn("user_id", F.lit(99)), model.user_vectors(history), 8)
     assert list(zero.first()["vec"]) == [0.0] * 8
+
+
+def test_one_shard_is_plain_mini_batch_training(spark, encoded):
+    """The rounds against dense Adam written out over the whole table."""
+    model = T.two_tower_fit(encoded, 60, dim=6, hidden=5, lr=0.01, epochs=2, batch_size=100, temperature=0.3)
+    samples = [(r["u"], r["pos"], r["history"], r["target"]) for r in T.history_windows(encoded, 20, "i", "u").collect()]
+    weights = T.Weights.initial(6, 5, 42)
+    start = spark.range(60).select("id", B.hashed_normal(0.01, 6, 42, F.lit("e"), "id").alias("v")).orderBy("id").collect()
+    table, flat = np.array([r["v"] for r in start]), weights.flat()
+    state = [np.zeros_like(a) for a in (table, table, flat, flat)]
+    t, losses = 0, []
+    from tasteloom.functions.seeded import draw_int
+
+    for epoch in (1, 2):
+        drawn = {(r["u"], r["pos"]): r["o"] for r in T.history_windows(encoded, 20, "i", "u").select(
+            "u", "pos", draw_int(f"42-{epoch}-0", "u", "pos").alias("o")).collect()}
+        order = sorted(samples, key=lambda s: drawn[s[0], s[1]])
+        own = []
+        for at in range(0, len(order), 100):
+            some = order[at: at + 100]
+            pooled = np.array([table[h].mean(0) for _u, _p, h, _t in some])
+            target = np.array([x[3] for x in some])
+            loss, gp, gt, gw = T.batch_gradients(pooled, table[target], weights.like(flat), 0.3)
+            grad = np.zeros_like(table)
+            for k, (_u, _p, h, i) in enumerate(some):
+                np.add.at(grad, h, gp[k] / len(h))
+                grad[i] += gt[k]
+            t += 1
+            for value, g, (m, v) in ((table, grad, state[:2]), (flat, gw, state[2:])):
+                m[:] = 0.9 * m + 0.1 * g
+                v[:] = 0.999 * v + 0.001 * g * g
+                value -= 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            own.append(loss)
+        losses.append(np.mean(own))
+    assert [h["loss"] for h in model.history] == pytest.approx(losses)
+    assert [h["steps"] for h in model.history] == [7, 14]
+    got = {r["i"]: r["vec"] for r in model.table.collect()}
+    assert np.allclose([got[i] for i in range(60)], table, atol=1e-9) and np.allclose(model.weights.flat(), flat, atol=1e-9)
+
+
+def test_steps_follow_samples_not_shards(encoded):
+    model = T.two_tower_fit(encoded, 60, dim=4, hidden=4, epochs=1, batch_size=20, shard_samples=220, rounds_per_epoch=2)
+    assert 6 <= model.history[0]["steps"] / 2 <= 12      # two rounds of some 330 samples in one or two shards
+    with pytest.raises(ValueError):
+        T.two_tower_fit(encoded.limit(0), 60)
