@@ -34,6 +34,8 @@ DROP = 97                                   # one in so many (document, word) pa
 _FLUSH = 300_000                            # words counted in a worker before they are passed on
 _BUCKET_WORDS, _BLOCK_WORDS = 2048, 4096    # in a block on average, and at most, about
 _BUCKET_LETTERS = 1 << 17
+_WIDTHS = 64                                # lengths told apart when buckets are counted
+_BLOCKS_A_TASK = 48
 _AT_ONCE = 1024                             # asked words
 _PIECE = 1 << 20
 _RUN, _GAP = re.compile(rb"[a-z\xc0-\xff]{5,}"), re.compile(rb"[^a-z\xc0-\xff]")
@@ -209,18 +211,21 @@ def _dealt(words: DataFrame) -> DataFrame:
     ways = F.filter(F.array(*(half(m, head) for m in (size, size - 1) for head in (True, False))),
                     lambda w: w["m"] >= LEAST_LETTERS)
     keyed = words.select("word", "n", F.inline(ways))
+    keyed = keyed.withColumn("width", F.least("m", F.lit(_WIDTHS)))
     letters = F.sum("m")
-    counts = keyed.groupBy("m", "head").agg(F.greatest(
+    counts = keyed.groupBy("width", "head").agg(F.greatest(
         F.ceil(F.count("*") / _BUCKET_WORDS), F.ceil(letters / _BUCKET_LETTERS)).alias("buckets"))
-    dealt = keyed.join(counts, ["m", "head"]).select(
+    # two rows for each width up to _WIDTHS at most
+    dealt = keyed.join(F.broadcast(counts), ["width", "head"]).select(
         "word", "n", "m", "head", F.pmod(F.col("key"), F.col("buckets").cast("bigint")).alias("bucket"))
-    parts = dealt.groupBy("m", "head", "bucket").agg(F.greatest(
-        F.ceil(F.count("*") / _BLOCK_WORDS), F.ceil(letters / (2 * _BUCKET_LETTERS))).cast("int").alias("parts"))
+    parts = write_stage(dealt.groupBy("m", "head", "bucket").agg(F.greatest(
+        F.ceil(F.count("*") / _BLOCK_WORDS), F.ceil(letters / (2 * _BUCKET_LETTERS))).cast("int").alias("parts")), "blocks")
     dealt = dealt.join(parts, ["m", "head", "bucket"]).withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
     units = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(
         F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j"),
         (F.col("part") > k).cast("int").alias("side")))
-    return dealt.select("word", "n", "m", "head", "bucket", F.inline(units))
+    tasks = parts.agg(F.ceil(F.sum(F.col("parts") * (F.col("parts") + 1) / 2) / _BLOCKS_A_TASK)).first()[0] or 1
+    return dealt.select("word", "n", "m", "head", "bucket", F.inline(units)).repartition(int(tasks), "m", "head", "bucket", "i", "j")
 
 
 def near_words(words: DataFrame) -> DataFrame:
