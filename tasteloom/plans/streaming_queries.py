@@ -11,21 +11,29 @@ from tasteloom.streaming import behaviour as S
 
 
 def raw_stream(w, parts=4, late=False):
-    """The events in ``parts`` files by time, one micro-batch each, so carried state counts.
+    """The events by ``parts`` ranges of time, one micro-batch each, so carried state counts.
 
-    With ``late`` the rows of the first half come once more, long after their time.
+    Each range is dealt to the same number of files, which follows the size of the table,
+    so that a micro-batch takes one range. Rows without a time are in the first. With ``late`` the rows of the first half come once
+    more, long after their time.
     """
     table, folder = w.table("events"), stage_path(w.spark, "events")
-    low, high = table.agg(F.min("event_id"), F.max("event_id")).first()
+    at = F.col("ts").cast("timestamp").cast("double")
+    low, high = table.agg(F.min(at), F.max(at)).first()
     if low is None:
         return S.read_events(w.spark, w.folder, table.schema, "events.parquet")
-    step = (high - low) // parts + 1
-    for start in range(low, high + 1, step):
-        part = table.where(F.col("event_id").between(start, start + step - 1))
-        part.coalesce(1).write.mode("append").parquet(folder)
+    step = (high - low) / parts
+    number = F.coalesce(F.least(F.floor((at - F.lit(low)) / F.lit(step or 1.0)), F.lit(parts - 1)), F.lit(0))
+    ranges = [table.where(number == n) for n in range(parts)]
     if late:
-        table.where(F.col("event_id") < low + (high - low) // 2).coalesce(1).write.mode("append").parquet(folder)
-    return S.read_events(w.spark, folder, table.schema, files_per_trigger=1)
+        ranges.append(table.where(at < low + (high - low) / 2))
+    files = max(1, -(-table.rdd.getNumPartitions() // parts))
+    for k, rows in enumerate(ranges, 1):
+        rows.repartition(files).write.mode("append").parquet(folder)
+        made = len(w.spark.read.schema(table.schema).parquet(folder).inputFiles())
+        for _ in range(k * files - made):       # a range of very few rows leaves files out
+            table.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return S.read_events(w.spark, folder, table.schema, files_per_trigger=files)
 
 
 def events(w):
@@ -77,6 +85,11 @@ def _(w):
     return S.drain(S.active_users(events(w)), "active")
 
 
+@query("stream_active_users_sketch")
+def _(w):
+    return S.drain(S.active_users_sketch(events(w)), "active-sketch")
+
+
 @query("stream_trending", """
 SELECT window_start, item_id, views, rank FROM (
   SELECT ts // 86400000 * 86400000 AS window_start, item_id, count(*) AS views,

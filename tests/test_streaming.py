@@ -54,6 +54,34 @@ def test_throttle_over_micro_batches(spark, frame):
     assert rows(got, "user_id", "seq", "blocked") == rows(O.throttle_flags(log), "user_id", "seq", "blocked")
 
 
+def test_cart_changes_follow_the_micro_batch(spark, frame):
+    """A batch passes on the lines it changed; a checkout empties lines of older batches; odd rows do nothing."""
+    log = frame([(1, n, "add", None, n, n) for n in range(20)] + [(2, 5, "add", None, 20, 20), (None, 5, "add", None, 21, 21),
+                 (1, None, "add", None, 22, 22), (1, 3, None, None, 23, 23), (1, 4, "look", None, 24, 24), (1, 2, "set", 7, 25, 25),
+                 (1, 3, "set", 0, 26, 26), (2, None, "checkout", None, 27, 27), (2, 9, "add", None, 28, 28)], LOG)
+    folder = stage_path(spark, "input")
+    for low, high in ((0, 20), (21, 40)):
+        log.where(F.col("seq").between(low, high)).coalesce(1).write.mode("append").parquet(folder)
+    with S.rocksdb_state(spark):
+        made = S.drain(S.cart_changes(S.read_events(spark, folder, log.schema, files_per_trigger=1)), "cart", "update")
+    second = rows(made.where("batch = 1"), "user_id", "item_id", "qty", "open")
+    assert second == [(1, 2, 7, True), (1, 3, 0, False), (2, 5, 0, False), (2, 9, 1, True)]
+
+
+def test_a_timer_forgets_failures_without_a_new_row(spark, frame):
+    schema = "user_id int, result string, ts bigint, seq bigint"
+    log = frame([(1, "failed", 1000 * n, n) for n in range(5)] + [(1, "failed", 5000, 5), (2, "success", 3_000_000, 6), (2, "success", 6_000_000, 7)], schema)
+    folder = stage_path(spark, "logins")
+    for ids in ((0, 1, 2), (3, 4, 5), (6,), (7,)):
+        log.where(F.col("seq").isin(*ids)).coalesce(1).write.mode("append").parquet(folder)
+    with S.rocksdb_state(spark):
+        made = S.drain(S.login_flags(S.read_events(spark, folder, log.schema, files_per_trigger=1)), "throttle", "update").collect()
+    flags = sorted((r["seq"], r["blocked"]) for r in made if not r["forgotten"])
+    assert flags == [(n, n == 5) for n in range(8)]
+    fired = [(r["user_id"], r["forgotten"]) for r in made if r["forgotten"]]
+    assert fired == [(1, 5)]     # user 1 has no row after the first six
+
+
 def test_streams_go_on_where_they_stopped_and_take_nothing(spark, frame):
     log = frame(actions(300), LOG)
     source, folder = stage_path(spark, "input"), stage_path(spark, "run")
