@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tasteloom.functions.text import catalog_text, is_suggestable, split_words
@@ -21,10 +21,13 @@ RATING_LABELS = ("Any", "4.5+", "4.0+", "3.5+")
 
 def sort_columns(sort: str) -> list[Column]:
     """Order of a result page; unknown keys sort like relevance, which is the rating order."""
-    first = {
-        "price_asc": F.asc_nulls_last("price"), "price_desc": F.desc_nulls_last("price"),
-    }.get(sort, F.desc_nulls_last("avg_rating"))
-    return [first, F.asc("item_id")]
+    return [F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in sort_keys(sort)]
+
+
+def sort_keys(sort: str) -> list[tuple[str, bool]]:
+    """(column, ascending) of ``sort_columns``; nulls stand last."""
+    first = {"price_asc": ("price", True), "price_desc": ("price", False)}.get(sort, ("avg_rating", False))
+    return [first, ("item_id", True)]
 
 
 def like_pattern(pattern: Column) -> Column:
@@ -199,3 +202,28 @@ def page(ranked: DataFrame, shown: int, step: int, cap: int) -> DataFrame:
     """Rows a "load more" click adds after ``shown`` rows; nothing beyond ``cap``."""
     return ranked.where((F.col("rank") > shown) & (F.col("rank") <= min(cap, shown + step)))
 
+
+
+def keyset_page(items: DataFrame, sort: str = "rating", after: Row | None = None, limit: int = 24) -> DataFrame:
+    """The ``limit`` rows of ``items`` that follow ``after``, a row shown before, in the order of ``sort``.
+
+    Nothing that was shown is ranked again: the place behind ``after`` is a filter on the
+    sort columns and the id that the scan can use, and only ``limit`` rows are kept.
+    Nulls come last. ``category_top`` takes the same sorts.
+    """
+    rows = items if after is None else items.where(_behind(sort_keys(sort), after))
+    return rows.orderBy(*sort_columns(sort)).limit(limit)
+
+
+def _behind(order: Sequence[tuple[str, bool]], after: Row) -> Column:
+    """Rows behind ``after`` when ordered by (column, ascending) with nulls last."""
+    found, equal = F.lit(False), F.lit(True)
+    for name, ascending in order:
+        column, value = F.col(name), after[name]
+        if value is None:
+            equal = equal & column.isNull()
+            continue
+        later = (column > F.lit(value)) if ascending else (column < F.lit(value))
+        found = found | (equal & (later | column.isNull()))
+        equal = equal & (column == F.lit(value))
+    return found

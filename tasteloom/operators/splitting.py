@@ -17,6 +17,20 @@ def split_cuts(df: DataFrame, val_q: float = DEFAULTS.val_quantile,
     return val_cut, test_cut
 
 
+def split_cuts_sketch(df: DataFrame, val_q: float = DEFAULTS.val_quantile, test_q: float = DEFAULTS.test_quantile,
+                      k: int = 4096) -> tuple[float, float]:
+    """Cuts from one mergeable KLL sketch, in a single scan; each is a timestamp of the table.
+
+    The rank of a cut is off by some 2.5 / k of the rows (0.06 % with 4,096) in all but 1 %
+    of cases. ``split_cuts`` is exact and interpolates, at the price of several scans.
+    """
+    sketch = df.agg(F.kll_sketch_agg_bigint(F.col("ts").cast("bigint"), F.lit(k)).alias("s"))
+    cuts = sketch.select(*(F.kll_sketch_get_quantile_bigint("s", F.lit(q)).alias(n) for n, q in (("val", val_q), ("test", test_q)))).first()
+    if cuts["val"] is None:
+        raise ValueError("no values in ts")
+    return float(cuts["val"]), float(cuts["test"])
+
+
 def label_split(df: DataFrame, cuts: tuple[float, float]) -> DataFrame:
     """Column ``split``: train < val cut <= val < test cut <= test."""
     ts: Column = F.col("ts")
@@ -26,10 +40,10 @@ def label_split(df: DataFrame, cuts: tuple[float, float]) -> DataFrame:
 
 
 def time_split(df: DataFrame, val_q: float = DEFAULTS.val_quantile,
-               test_q: float = DEFAULTS.test_quantile) -> tuple[DataFrame, DataFrame, DataFrame]:
+               test_q: float = DEFAULTS.test_quantile, sketch: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Train, validation and test parts; the cuts become literal filters on ``ts``
-    that the scan can use."""
-    val_cut, test_cut = split_cuts(df, val_q, test_q)
+    that the scan can use. With ``sketch`` the cuts come from ``split_cuts_sketch``."""
+    val_cut, test_cut = (split_cuts_sketch if sketch else split_cuts)(df, val_q, test_q)
     ts = F.col("ts")
     return (
         df.where(ts < val_cut),

@@ -1,5 +1,6 @@
 """Queries: catalog search, suggestion, browsing and column rules."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tasteloom.functions import scalars as C
@@ -191,6 +192,24 @@ def _(w):
     return G.page(ranked, 24, 24, 40).select("category", F.col("rank").cast("bigint").alias("rank"), "item_id")
 
 
+def _keyset_sql(sort, order):
+    return (f"SELECT '{sort}' AS sort, rank, item_id FROM (SELECT item_id, row_number() OVER (ORDER BY {order}, item_id) AS rank FROM items) "
+            "WHERE rank > 24 AND rank <= 40")
+
+
+@query("load_more_keyset", " UNION ALL ".join(_keyset_sql(s, o) for s, o in (
+    ("rating", "avg_rating DESC NULLS LAST"), ("price_asc", "price NULLS LAST"), ("price_desc", "price DESC NULLS LAST"))))
+def _(w):
+    """The second page of the whole catalog: 16 rows behind the last of the first 24."""
+    pages = []
+    for sort in ("rating", "price_asc", "price_desc"):
+        last = G.keyset_page(w.items, sort, None, 24).tail(1)
+        page = G.keyset_page(w.items, sort, last[0] if last else None, 16)
+        place = F.row_number().over(Window.orderBy(*G.sort_columns(sort)))     # of at most 16 rows
+        pages.append(page.select(F.lit(sort).alias("sort"), (place + 24).cast("bigint").alias("rank"), "item_id"))
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 # ------------------------------------------------------------------ column rules
 @query("clean_price", """
 SELECT item_id, round(CASE WHEN len(v) > 0 THEN list_sum(v) / len(v) END, 6) AS price FROM (

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tasteloom.operators import commerce as O
 from tests.conftest import rows
@@ -102,3 +103,18 @@ def test_latency_and_kpis(frame):
     orders = frame([(1, 2.5, 2), (1, None, 1)], "user_id int, price double, qty bigint")
     assert tuple(O.admin_kpis(users, events, orders, 100_000_001).first()) == (2, 1, 2, 5.0)
     assert rows(O.user_counters(users, events)) == [(1, 1), (2, 0)]
+
+
+def test_titles_from_frequent_item_sketches(spark, frame):
+    rng = np.random.default_rng(6)
+    heavy = [n for n in range(5) for _ in range(3000 - 300 * n)]
+    light = rng.integers(100, 4000, 20_000).tolist()
+    log = frame([(int(i), "view", n % 7) for n, i in enumerate(heavy + light)] + [(1, "like", 0), (None, "view", 0)], "item_id int, event_type string, day int")
+    items = frame([(n, f"t{n}") for n in range(4000)], "item_id int, title string")
+    exact = rows(O.top_viewed(log, items, 5), "title", "views")
+    days = O.view_sketches(log, F.col("day"), tracked=600)
+    got = rows(O.top_viewed_sketch(days, items, 5, tracked=600, most=50), "title", "views")
+    assert days.count() == 7 and {t for t, _ in got} == {t for t, _ in exact}
+    bound = 3.5 / 600 * (len(heavy) + len(light))
+    assert all(abs(v - dict(exact)[t]) <= bound for t, v in got)
+    assert rows(O.top_viewed_sketch(O.view_sketches(log, F.col("day")), items, 5)) == rows(O.top_viewed(log, items, 5))

@@ -118,3 +118,12 @@ def test_results_do_not_depend_on_partitions(spark, data):
         seen.append(rows(R.global_index(df, ["ts", "user_id", "item_id", "rating"]), "idx", "ts", "user_id", "item_id"))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert seen[0] == seen[1]
+
+
+def test_sketched_cuts_are_close_in_rank(spark):
+    df = spark.range(200_000).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).alias("ts"))
+    n = df.count()
+    for q, cut in zip((0.85, 0.90), S.split_cuts_sketch(df)):
+        assert abs(df.where(F.col("ts") <= cut).count() / n - q) < 0.002
+    parts = S.time_split(df, sketch=True)
+    assert sum(p.count() for p in parts) == n
