@@ -17,7 +17,9 @@ from tasteloom.operators.ranker import LambdaMart, rerank
 from tasteloom.operators.retrieval import topn_inner_product, vector_dim
 from tasteloom.operators.splitting import time_split
 from tasteloom.operators.subsample import subsample
+from tasteloom.operators.towers import Weights, apply_tower
 from tasteloom.session import write_stage
+from tasteloom.sources.tables import Artifacts
 
 
 def build_dataset(reviews: DataFrame, opts: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -43,6 +45,30 @@ class FeedModels:
         return "Two-tower + ranker" if self.ranker and self.store else "Two-tower"
 
 
+def feed_models(found: Artifacts) -> FeedModels:
+    """What a set of saved artifacts allows: ranker, retriever or popularity.
+
+    With tower weights and item embeddings users are queried through the user tower,
+    without them by the mean of their items' vectors.
+    """
+    popularity = found.get("popularity")
+    if popularity is None:
+        raise ValueError("the artifact set has no popularity table, the last resort of every feed")
+    vectors, ranker, store, tower = found.get("item_vectors"), None, None, None
+    if found.stage == "ranker":
+        ranker = LambdaMart.from_table(found.get("ranker_trees"))
+        constants = found.get("feature_constants").first()
+        store = FeatureStore(found.get("user_features"), found.get("item_features"), constants["global_avg_rating"], constants["now_ts"])
+    weights, embeddings = found.get("tower_weights"), found.get("item_embeddings")
+    if vectors is not None and weights is not None and embeddings is not None:
+        towers = Weights.from_table(weights)
+
+        def tower(history: DataFrame) -> DataFrame:
+            return apply_tower(mean_pool(history, embeddings, towers.dim), "user_id", towers, "user")
+
+    return FeedModels(popularity, vectors, tower, ranker, store)
+
+
 def recommend_batch(
     users: DataFrame,
     log: DataFrame,

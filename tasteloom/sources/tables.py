@@ -18,6 +18,7 @@ ARTIFACTS = (
     "popularity", "item_encoder", "item_vectors", "similar_items", "user_features", "item_features",
     "feature_constants", "ranker_trees", "tower_weights",
 )
+EXTRA_ARTIFACTS = ("item_embeddings",)   # what the user tower pools
 
 
 def write_split(folder: str, train: DataFrame, val: DataFrame, test: DataFrame, items: DataFrame) -> None:
@@ -83,12 +84,30 @@ def read_results_csv(spark: SparkSession, path: str, columns: T.StructType, defa
 
 
 # ---------------------------------------------------------------- artifacts
-def write_artifacts(folder: str, **tables: DataFrame) -> None:
-    unknown = set(tables) - set(ARTIFACTS)
-    if unknown:
-        raise ValueError(f"unknown artifacts {sorted(unknown)}")
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the finished artifact sets, oldest first."""
+    found = _maybe(spark, folder, "manifest")
+    return [] if found is None else sorted(r["version"] for r in found.select(F.col("version").cast("bigint")).distinct().collect())
+
+
+def write_artifacts(folder: str, **tables: DataFrame) -> int:
+    """Write the tables as one new set and return its version number.
+
+    The tables go into a folder of their own; the manifest that names them is written
+    last, as one file. A set without a manifest, half-written or given up, is never read,
+    and readers of an older set are not disturbed. One writer at a time: a second one
+    that takes the same number fails at the manifest.
+    """
+    unknown = set(tables) - set(ARTIFACTS) - set(EXTRA_ARTIFACTS)
+    if unknown or not tables:
+        raise ValueError(f"unknown artifacts {sorted(unknown)}" if unknown else "no artifacts")
+    spark = next(iter(tables.values())).sparkSession
+    version = max(versions(spark, folder), default=0) + 1
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").parquet(f"{folder}/sets/{version}/{name}")
+    names = spark.createDataFrame([(n,) for n in sorted(tables)], "artifact string")
+    names.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/manifest/version={version}")
+    return version
 
 
 def _maybe(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
@@ -122,14 +141,21 @@ class Artifacts:
         return {"ranker": "Two-tower + ranker", "retriever": "Two-tower", "popularity": "Popular right now"}[self.stage]
 
 
-def load_artifacts(spark: SparkSession, folder: str) -> Artifacts:
-    found = {name: _maybe(spark, folder, name) for name in ARTIFACTS}
-    return Artifacts({name: df for name, df in found.items() if df is not None})
+def load_artifacts(spark: SparkSession, folder: str, version: int | None = None) -> Artifacts:
+    """The tables of one set, the newest finished one unless ``version`` is given."""
+    known = versions(spark, folder)
+    if version is None and not known:
+        return Artifacts()
+    if version is not None and version not in known:
+        raise ValueError(f"no finished artifact set {version}")
+    version = known[-1] if version is None else version
+    names = [r["artifact"] for r in spark.read.parquet(f"{folder}/manifest/version={version}").collect()]
+    return Artifacts({n: spark.read.parquet(f"{folder}/sets/{version}/{n}") for n in names})
 
 
 def artifact_health(spark: SparkSession, folder: str) -> DataFrame:
     """One row per artifact: present or not, and its row count."""
-    found = load_artifacts(spark, folder).tables
+    found = {n: t for n, t in load_artifacts(spark, folder).tables.items() if n in ARTIFACTS}
     status = spark.createDataFrame([(n, n in found) for n in ARTIFACTS], "artifact string, loaded boolean")
     counts = None
     for name, df in found.items():
