@@ -135,6 +135,6 @@ def _(w):
 def _(w):
     models = FeedModels(popularity_head(w.train, 60), w.vectors)
     feed = S.recommend_stream(
-        events(w), stage_path(w.spark, "log"), lambda users, log: recommend_batch(users, log, w.items, models)
+        events(w), lambda users, log: recommend_batch(users, log, w.items, models)
     )
     return feed.withColumn("rank", F.col("rank").cast("bigint"))

@@ -196,19 +196,23 @@ def throttle_stream(logins: DataFrame, window_s: float = 600, limit: int = 5, de
     return flags.where("forgotten = 0").drop("forgotten", "batch")
 
 
-def recommend_stream(events: DataFrame, log_path: str, feed: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def recommend_stream(events: DataFrame, feed: Callable[[DataFrame, DataFrame], DataFrame], n: int = DEFAULTS.max_history,
+                     folder: str | None = None) -> DataFrame:
     """Refresh the feed of the users of each micro-batch.
 
-    ``feed(users, log)`` is the batch plan; the log is everything written so far, each
-    micro-batch in its own folder.
+    ``feed(users, log)`` is the batch plan. Its log is what the keyed state holds of the
+    users that the micro-batch touched, their latest ``n`` items, so the work follows those
+    users and no older event is read again. ``folder`` works as in ``drain``.
     """
+    spark = events.sparkSession
+    histories, _checkpoint = _folders(spark, "histories", folder)
 
     def each(batch: DataFrame, number: int) -> DataFrame:
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch={number}")
-        spark = batch.sparkSession
-        log = spark.read.option("basePath", log_path).parquet(log_path).where(F.col("batch") <= number).drop("batch")
-        users = spark.read.parquet(f"{log_path}/batch={number}").select("user_id").distinct()
-        return feed(users, log)
-
-    return newest_lists(drain(events, "feed", "append", each))
-
+        if number < 0:
+            return feed(batch.select("user_id"), batch)
+        batch.write.mode("overwrite").parquet(f"{histories}/batch={number}")      # once: the state is not read again
+        touched = batch.sparkSession.read.schema(batch.schema).parquet(f"{histories}/batch={number}")
+        return feed(touched.select("user_id").distinct(), touched)
+
+    stream = user_history_stream(events.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()), n)
+    return newest_lists(drain(stream, "feed", "update", each, folder))

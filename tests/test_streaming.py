@@ -121,9 +121,24 @@ def test_feed_is_refreshed_for_touched_users(spark, events, frame):
     def feed(users, log):
         return recommend_batch(users, log, items, models, n=5)
 
-    got = S.recommend_stream(split_files(spark, events, "event_id", 2), stage_path(spark, "log"), feed)
+    got = S.recommend_stream(split_files(spark, events, "event_id", 2), feed)
     want = feed(events, events)
     assert rows(got, "user_id", "rank", "item_id", "reason") == rows(want, "user_id", "rank", "item_id", "reason")
     cold = recommend_batch(frame([(77,)], "user_id int"), events, items, models, n=5)
     assert {r["model_label"] for r in cold.collect()} == {"Popular right now"}
     assert recommend_batch(events, events, items, FeedModels(head), n=5).count() == 30
+
+
+def test_sketches_of_active_users_are_close(spark):
+    rng = np.random.default_rng(2)
+    out = []
+    for n in range(20_000):
+        at = START + dt.timedelta(minutes=0.2 * n)
+        out.append((n, int(rng.integers(0, 6000)), 1, "view", 3.0, at, int(at.timestamp() * 1000)))
+    folder = stage_path(spark, "active")
+    spark.createDataFrame(out, EVENTS).coalesce(1).write.parquet(folder)
+    stream = [S.read_events(spark, folder, spark.read.parquet(folder).schema) for _ in range(2)]
+    exact = dict(rows(S.drain(S.active_users(stream[0]), "exact")))
+    close = dict(rows(S.drain(S.active_users_sketch(stream[1]), "close")))
+    assert exact.keys() == close.keys() and max(exact.values()) > 3000
+    assert all(abs(close[k] - v) <= 0.02 * v + 1 for k, v in exact.items())
