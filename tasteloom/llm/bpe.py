@@ -29,16 +29,37 @@ from tasteloom.llm.common import doc_rows, text_or_empty
 
 LEAF = 32_768          # characters encoded in one piece
 _CACHED_WORDS = 200_000
-_ROWS = 500             # rows whose ids are held at once
+_ROWS, _CHARS = 500, 2_000_000   # rows, and about so many characters, encoded at once
 _WINDOW = 64
 
 # fixed values: letters and numbers of the scripts that are looked up by word, and the word pattern of the vocabulary
 _LETTERS = "a-zªµºß-öø-ÿœ"
 _NUMBERS = "0-9²³¹¼-¾"
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-ÿŒœ–—‘’“”…€]*")
+_PROBE = "Der Café-Besuch von 1234 Ärzten, it's naïve: we'll pay 50% (œuvre)...\n\tX9 don't ÀÉ--õ ½ l'été!? _a_b_"
 _WORD = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^ \t\n\r{_LETTERS}{_NUMBERS}]+")
 
 
+class WordTable:
+    """What words are encoded to, in two generations: once the young one is full, it is the old one,
+    and words of the old one that come again move back."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def learn(self, words: set[str], make) -> None:
+        """Have all of ``words`` in ``young``; ``make`` encodes a list of new ones."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        new = words - self.young.keys()
+        back = new & self.old.keys()
+        for word in back:
+            self.young[word] = self.old[word]
+        new = list(new - back)
+        if new:
+            self.young.update(zip(new, make(new)))
+
+
 class Codec:
     """One worker's tokenizer with its word table."""
 
@@ -50,27 +71,37 @@ class Codec:
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size()
         self.tokens = np.array([self.tokenizer.id_to_token(i) or "" for i in range(size)], dtype=object)
-        self.ids: dict[str, bytes] = {}
-        self.places: dict[str, tuple] = {}
+        self.ids, self.places = WordTable(_CACHED_WORDS), WordTable(_CACHED_WORDS // 4)
+        self.by_word = self._same_by_word()
 
     def _plain(self, text: str) -> bool:
-        return _PLAIN.fullmatch(text) is not None and "<|" not in text
+        return self.by_word and _PLAIN.fullmatch(text) is not None and "<|" not in text
+
+    def _same_by_word(self) -> bool:
+        """Whether this vocabulary lower-cases and parts texts as the word table does."""
+        words = _WORD.findall(_PROBE.lower())
+        whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        return whole == [i for w in words for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not self._plain(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        words = _WORD.findall(text.lower())
-        try:
-            return b"".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            pass
-        if len(self.ids) > _CACHED_WORDS:
-            self.ids.clear()
-        new = list({w for w in words if w not in self.ids})
-        for word, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[word] = np.array(made.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.ids.__getitem__, words))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of each text; words not met before go to the tokenizer in one call for all."""
+        parted = [_WORD.findall(t.lower()) if self._plain(t) else None for t in texts]
+        self.ids.learn(set().union(*(w for w in parted if w)), self._ids_of)
+        known = self.ids.young.__getitem__
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if words is None
+                else b"".join(map(known, words)) for t, words in zip(texts, parted)]
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        return [np.array(made.ids, dtype="<u4").tobytes()
+                for made in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _rows_of(self, words: list[str]) -> list[bytes]:
+        return [np.column_stack([np.array(made.ids, dtype="<i8"), np.array(made.offsets, dtype="<i8").reshape(-1, 2)]).tobytes()
+                for made in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
     def encode_places(self, text: str) -> np.ndarray:
         """Rows of (id, start, end) in characters of ``text``."""
@@ -79,22 +110,12 @@ class Codec:
             return np.column_stack([np.array(made.ids, dtype=np.int64),
                                     np.array(made.offsets, dtype=np.int64).reshape(-1, 2)])
         found = [(m.start(), m.group()) for m in _WORD.finditer(text.lower())]
-        if len(self.places) > _CACHED_WORDS // 8:
-            self.places.clear()
-        parts = []
-        for _, word in found:
-            part = self.places.get(word)
-            if part is None:
-                made = self.tokenizer.encode(word, add_special_tokens=False)
-                part = self.places[word] = np.column_stack([
-                    np.array(made.ids, dtype=np.int64), np.array(made.offsets, dtype=np.int64).reshape(-1, 2)])
-            parts.append(part)
-        if not parts:
+        if not found:
             return np.empty((0, 3), dtype=np.int64)
-        rows = np.concatenate(parts)
-        at = np.repeat(np.array([s for s, _ in found], dtype=np.int64), [len(p) for p in parts])
-        rows[:, 1] += at
-        rows[:, 2] += at
+        self.places.learn({w for _, w in found}, self._rows_of)
+        parts = [self.places.young[w] for _, w in found]
+        rows = np.frombuffer(b"".join(parts), dtype="<i8").reshape(-1, 3).copy()
+        rows[:, 1:] += np.repeat(np.array([s for s, _ in found]), np.array([len(p) for p in parts]) // 24)[:, None]
         return rows
 
     def decode(self, ids: bytes) -> str:
@@ -181,10 +202,12 @@ def vocabulary(path: str) -> str:
 def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
     """``doc_id, ids, decoded``: the ids of each row's whole text and the text that they decode to.
 
-    Ids are little-endian unsigned 32-bit integers in one binary. One row per row of ``docs``, also where ids repeat or are null; null text
-    counts as empty and gives no ids. ``definition`` is a tokenizer definition in
-    JSON (see :func:`vocabulary`), used with its padding and truncation off and
-    without added special tokens. Other columns are ignored.
+    Ids are little-endian unsigned 32-bit integers in one binary. One row per row of
+    ``docs``, also where ids repeat or are null; null text counts as empty and gives no
+    ids, an empty table gives no rows. ``definition`` is a tokenizer definition in JSON
+    (see :func:`vocabulary`), used with its padding and truncation off and without added
+    special tokens; one that parts texts in another way than the word table has all
+    texts encoded as they are. Other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(definition)
     rows = doc_rows(docs).select("doc_id", text_or_empty().alias("text"))
@@ -192,21 +215,26 @@ def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held.value)
         for part in batches:
-            for at in range(0, len(part), _ROWS):
-                some = part.slice(at, _ROWS)
-                ids = [codec.encode(t) for t in some["text"].to_pylist()]
+            texts, at = part["text"].to_pylist(), 0
+            while at < len(texts):
+                end, chars = at, 0
+                while end < len(texts) and end < at + _ROWS and (end == at or chars + len(texts[end]) <= _CHARS):
+                    chars += len(texts[end])
+                    end += 1
+                some, ids = part.slice(at, end - at), codec.encode_all(texts[at:end])
+                at = end
                 yield pa.record_batch([some["doc_id"], pa.array(ids, pa.binary()),
                                        pa.array(map(codec.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            for doc, key, text in zip(*(part[c].to_pylist() for c in ("doc_id", "key", "text"))):
+            for doc, key, copies, text in zip(*(part[c].to_pylist() for c in ("doc_id", "key", "copies", "text"))):
                 ends = halves(len(text), leaf)
                 n = len(ends) - 1
                 yield pa.record_batch(
-                    [pa.array([doc] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(range(n), pa.int32()),
-                     pa.array([text[a:b] for a, b in zip(ends, ends[1:])], pa.string())],
-                    ["doc_id", "key", "piece", "text"])
+                    [pa.array([doc] * n, pa.int64()), pa.array([key] * n, pa.string()), pa.array([copies] * n, pa.int64()),
+                     pa.array(range(n), pa.int32()), pa.array([text[a:b] for a, b in zip(ends, ends[1:])], pa.string())],
+                    ["doc_id", "key", "copies", "piece", "text"])
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held.value)
@@ -215,10 +243,9 @@ def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
             yield part.append_column("places", pa.array(places, pa.binary()))
 
     def joined(part: pa.Table) -> pa.Table:
-        doc, by_piece, copies = part["doc_id"][0].as_py(), {}, 0
+        by_piece = {}
         for piece, text, places in zip(*(part[c].to_pylist() for c in ("piece", "text", "places"))):
             by_piece[piece] = text, np.frombuffer(places, dtype="<i8").reshape(-1, 3).copy()
-            copies += piece == 0  # rows that repeat an id and its text
         texts = [by_piece[i][0] for i in range(len(by_piece))]
         cuts = [0, *np.cumsum([len(t) for t in texts]).tolist()]
         pieces = [by_piece[i][1] for i in range(len(by_piece))]
@@ -226,17 +253,21 @@ def encode(docs: DataFrame, definition: str, leaf: int = LEAF) -> DataFrame:
             rows[:, 1:] += at
         codec = _codec(held.value)
         ids = join_tree(codec.encode_places, "".join(texts), pieces, cuts)[:, 0].astype("<u4").tobytes()
-        return pa.table({"doc_id": pa.array([doc] * copies, pa.int64()), "ids": pa.array([ids] * copies, pa.binary()),
-                         "decoded": pa.array([codec.decode(ids)] * copies, pa.string())})
+        return pa.table({"doc_id": part["doc_id"].slice(0, 1), "copies": part["copies"].slice(0, 1), "ids": pa.array([ids], pa.binary()),
+                         "decoded": pa.array([codec.decode(ids)], pa.string())})
 
     made = "doc_id bigint, ids binary, decoded string"
     short = rows.filter(F.length("text") <= leaf).mapInArrow(whole, made)
-    long = rows.filter(F.length("text") > leaf).select("doc_id", "text", F.xxhash64("text").alias("key"))
-    pieces = long.mapInArrow(cut, "doc_id bigint, key bigint, piece int, text string")
-    pieces = pieces.repartition("doc_id", "key", "piece").mapInArrow(
-        leaves, "doc_id bigint, key bigint, piece int, text string, places binary")
-    return short.unionByName(pieces.groupBy("doc_id", "key").applyInArrow(joined, made))
-
+    # rows that repeat an id and its long text are encoded once
+    long = rows.filter(F.length("text") > leaf).withColumn("key", F.sha2(F.col("text").cast("binary"), 256)).groupBy(
+        "doc_id", "key", "text").agg(F.count("*").alias("copies"))
+    pieces = long.mapInArrow(cut, "doc_id bigint, key string, copies bigint, piece int, text string")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces.repartition(tasks, "doc_id", "key", "piece").mapInArrow(
+        leaves, "doc_id bigint, key string, copies bigint, piece int, text string, places binary")
+    whole_again = pieces.groupBy("doc_id", "key").applyInArrow(joined, "doc_id bigint, copies bigint, ids binary, decoded string")
+    return short.unionByName(whole_again.select(
+        "doc_id", "ids", "decoded", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("_copy")).drop("_copy"))
 
 
 def decode(rows: DataFrame, definition: str) -> DataFrame:
