@@ -157,26 +157,30 @@ class Model:
         return names, scores
 
 
-def fit(labelled: DataFrame, label: str = "lang", rows: int = 200, chars_per_row: int = 2000,
-        chars: int = 40_000) -> Model:
-    """Automata of each label's text, from a hash sample bounded as the parameters say.
-
-    Rows without a label or a text are left out; no labelled row at all gives a
-    model that answers ``und``.
+def fit(labelled: DataFrame, label: str = "lang", rows: int = 200, chars: int = 40_000) -> Model:
+    """Automata of each label's text, from a hash sample of about ``rows`` rows per label.
+
+    A row gives one slice at a hash-chosen place of its text, so that any part of a text
+    may be learnt; slices are as long as it takes for all of a label's to have ``chars``
+    characters together, or whole texts where they are shorter. Rows that repeat both
+    id and text count once; rows that share only an id are rows like any other. Rows
+    without a label or a text are left out; no labelled row at all gives a model that
+    answers ``und``.
     """
     data = doc_rows(labelled, label).filter(F.col(label).isNotNull() & F.col("text").isNotNull()).select(
-        "doc_id", F.col(label).cast("string").alias("lang"), "text")
-    order = F.xxhash64(F.lit("language"), "doc_id")
-    counts = {r["lang"]: r["n"] for r in data.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    chosen = F.lit(False)
+        F.col(label).cast("string").alias("lang"), "text", F.xxhash64(F.lit("language"), "doc_id", "text").alias("o"))
+    counts = {r["lang"]: r["n"] for r in data.groupBy("lang").agg(F.approx_count_distinct("o").alias("n")).collect()}
+    chosen, width = F.lit(False), F.lit(0)
     for lang, n in counts.items():
-        chosen |= (F.col("lang") == lang) & (F.pmod(order, F.lit(1 << 30)) < int((1 << 30) * min(1.0, rows / n)))
-    sample = data.filter(chosen).select("lang", order.alias("o"), F.substring("text", 1, chars_per_row).alias("text"))
+        chosen |= (F.col("lang") == lang) & (F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * min(1.0, rows / max(1, n))))
+        width = F.when(F.col("lang") == lang, -(-chars // max(1, min(rows, n)))).otherwise(width)
+    place = F.pmod(F.xxhash64(F.lit("place"), "o"), F.greatest(F.length("text") - width + 1, F.lit(1))) + 1
+    sample = data.filter(chosen).select("lang", "o", F.substr("text", place.cast("int"), width).alias("text")).dropDuplicates(["lang", "o"])
     texts: dict[str, list[tuple[int, str]]] = {}
-    for row in sample.collect():
+    for row in sample.collect():      # some ``rows`` slices, ``chars`` characters of each label
         texts.setdefault(row["lang"], []).append((row["o"], row["text"]))
     names = sorted(texts)
-    joined = [" ".join(t for _, t in sorted(texts[n]))[:chars] for n in names]
+    joined = [" ".join(t for _, t in sorted(texts[n])) for n in names]
     seen = Counter(c for text in joined for c in text.lower() if c.isalpha())
     return Model(names, sorted(c for c, _ in seen.most_common(_LETTERS)), joined)
 
