@@ -7,10 +7,12 @@ words. Both counts are summed by Spark over the whole corpus.
 
 The trie becomes one table of log probabilities: a row per context, a column per
 byte, with escapes by method C (as many chances as the context has symbols) and
-symbols excluded that a longer context has offered already. Contexts shorter than
-three bytes are all kept (65,536 at most); of the three-byte contexts the ``nodes``
-most frequent have rows of their own, others escape to their last two bytes. So
-the table has a fixed bound, whatever the corpus.
+symbols excluded that a longer context has offered already. Every context of the
+training rows has a row. Those shorter than three bytes (65,793 at most) and the
+``nodes`` most frequent of three bytes are in a table of fixed bound that all workers
+hold. If there are more, the rows of the others are made on executors, a group for
+each last two bytes (256 contexts at most), and joined to the counts of the documents
+that use them; what the table gave for these is taken back.
 
 Words are joined with their counts once per block, not once per occurrence: a word
 that every document has costs one row per block.
@@ -197,6 +199,58 @@ def build_trie(three: tuple[np.ndarray, np.ndarray], four: tuple[np.ndarray, np.
     return Trie(np.concatenate(parts), pairs, singles, triples)
 
 
+def _other_rows(summed: DataFrame, chosen: DataFrame, three: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``context, logs`` (256 floats) of each three-byte context that is not ``chosen``, made on executors."""
+    code, n = three
+    first = np.zeros((256, 256), dtype=np.int64)
+    np.add.at(first, ((code >> 8) & 255, code & 255), n)
+
+    def rows_of(part: pa.Table) -> pa.Table:
+        code, n = part["batch"].to_numpy(), part["n"].to_numpy()
+        other = np.asarray(part["top"].is_null())
+        context, at = np.unique(code[other] >> 8, return_inverse=True)
+        second = np.bincount(code & 255, n, 256).astype(np.int64)
+        counts = np.zeros((len(context), 256), dtype=np.int64)
+        counts[at, code[other] & 255] = n[other]
+        shorter = [np.repeat(x[None, :], len(context), 0) for x in (second, first[int(part["pair"][0].as_py()) & 255], first.sum(axis=0))]
+        return pa.table({"context": context, "logs": pa.array([r.tobytes() for r in _rows([counts, *shorter])], pa.binary())})
+
+    context = F.shiftright("batch", 8)
+    marked = summed.withColumn("context", context).join(
+        F.broadcast(chosen.select("context", F.lit(True).alias("top"))), "context", "left")    # ``nodes`` rows at most
+    return marked.select("batch", "n", "top", F.col("context").bitwiseAND(0xFFFF).alias("pair")).groupBy("pair").applyInArrow(
+        rows_of, "context bigint, logs binary")
+
+
+def _taken_back(rows: DataFrame, held, others: DataFrame) -> DataFrame:
+    """``doc_id, key, change``: what the rows of ``others`` change in the score of a document."""
+    def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, row_of = _held(held.value)
+        own = len(table) - len(held.value.triples)
+        for part in parts:
+            for doc, key, text in zip(*(part[c].to_pylist() for c in ("doc_id", "key", "text"))):
+                code = grams(lower_bytes(text))
+                code, n = _counts(code[row_of[code >> 8] < own])
+                yield pa.record_batch(
+                    [pa.array([doc] * len(code), pa.int64()), pa.array([key] * len(code), pa.int64()), (code >> 8).astype(np.int64),
+                     (code & 255).astype(np.int32), n.astype(np.int64), table[row_of[code >> 8], code & 255].astype(np.float64)],
+                    ["doc_id", "key", "context", "symbol", "n", "had"])
+
+    uses = rows.mapInArrow(asked, "doc_id bigint, key bigint, context bigint, symbol int, n bigint, had double")
+    # rows that repeat an id and its text have one score
+    uses = uses.groupBy("doc_id", "key", "context", "symbol").agg(F.min("n").alias("n"), F.min("had").alias("had"))
+
+    def changes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            logs = np.frombuffer(b"".join(part["logs"].to_pylist()), dtype=np.float32).reshape(-1, 256)
+            symbol = part["symbol"].to_numpy()
+            change = part["n"].to_numpy() * (logs[np.arange(len(logs)), symbol].astype(np.float64) - part["had"].to_numpy())
+            yield pa.record_batch([part["doc_id"], part["key"], change], ["doc_id", "key", "change"])
+
+    met = uses.join(others, "context").mapInArrow(changes, "doc_id bigint, key bigint, change double")
+    return met.groupBy("doc_id", "key").agg(F.sum("change").alias("change"))
+
+
 _HELD: dict[int, tuple] = {}
 
 
@@ -226,7 +280,7 @@ def score(docs: DataFrame, train: Column, nodes: int = 65_536) -> DataFrame:
     text is an empty one: its only token is the end. Rows that repeat an id are
     scored each by its own text. Without training rows every byte is as likely
     as any other and ``base_score`` is 0. ``nodes`` bounds the three-byte contexts
-    with a row of their own in the table.
+    in the table that workers hold; the others count just as much, by a join.
     """
     spark = docs.sparkSession
     rows = _keyed(docs, train)
@@ -236,8 +290,8 @@ def score(docs: DataFrame, train: Column, nodes: int = 65_536) -> DataFrame:
 
     summed = write_stage(gathered.filter("kind = 'gram'").groupBy("batch").agg(F.sum("total").alias("n")), "ppm-grams")
     context = F.shiftright("batch", 8)
-    chosen = summed.groupBy(context.alias("context")).agg(F.sum("n").alias("w")).orderBy(
-        F.desc("w"), "context").limit(nodes)
+    contexts = write_stage(summed.groupBy(context.alias("context")).agg(F.sum("n").alias("w")), "ppm-contexts")
+    chosen = contexts.orderBy(F.desc("w"), "context").limit(nodes)
     four = summed.join(F.broadcast(chosen.select("context")), context == F.col("context"), "left_semi")
     three = summed.groupBy((F.col("batch").bitwiseAND(0xFFFFFF)).alias("batch")).agg(F.sum("n").alias("n"))
 
@@ -245,7 +299,8 @@ def score(docs: DataFrame, train: Column, nodes: int = 65_536) -> DataFrame:
         found = frame.select("batch", "n").toArrow()
         return found["batch"].to_numpy().astype(np.int64), found["n"].to_numpy().astype(np.int64)
 
-    held = spark.sparkContext.broadcast(build_trie(columns(three), columns(four)))
+    pairs = columns(three)
+    held = spark.sparkContext.broadcast(build_trie(pairs, columns(four)))
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, row_of = _held(held.value)
@@ -279,5 +334,9 @@ def score(docs: DataFrame, train: Column, nodes: int = 65_536) -> DataFrame:
     base = base.groupBy("doc_id", "key").agg(*(F.first(c).alias(c) for c in ("n_tokens", "n_known", "base_score")))
     base = base.withColumnsRenamed({"doc_id": "b_doc", "key": "b_key"})
     made = rows.mapInArrow(scored, "doc_id bigint, key bigint, train boolean, score double")
+    if contexts.count() > nodes:
+        change = _taken_back(rows, held, _other_rows(summed, chosen, pairs)).withColumnsRenamed({"doc_id": "c_doc", "key": "c_key"})
+        made = made.join(change, F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("key") == F.col("c_key")), "left").select(
+            "doc_id", "key", "train", (F.col("score") + F.coalesce("change", F.lit(0.0))).alias("score"))
     return made.join(base, F.col("doc_id").eqNullSafe(F.col("b_doc")) & (F.col("key") == F.col("b_key"))).select(
         "doc_id", "train", "n_tokens", "n_known", F.lit(int(whole)).cast("bigint").alias("train_tokens"), "base_score", "score")

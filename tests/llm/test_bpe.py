@@ -69,6 +69,36 @@ def test_nulls_repeats_and_clashing_names(spark):
     assert bpe.encode(docs.limit(0), DEFINITION).collect() == []
 
 
+def test_many_repeats_of_a_long_text(spark):
+    text = "Thin the ating " * 300
+    docs = spark.range(10_000).selectExpr("CAST(NULL AS bigint) AS doc_id", f"'{text}' AS text")
+    made = bpe.encode(docs, DEFINITION, leaf=1000)
+    counts = made.groupBy("doc_id", "ids").count().collect()
+    assert [(r["doc_id"], bytes(r["ids"]), r["count"]) for r in counts] == [
+        (None, np.array(library(text), "<u4").tobytes(), 10_000)]
+
+
+def test_words_come_back_from_the_old_generation():
+    made = []
+    table_ = bpe.WordTable(2)
+    for words in ({"a", "b", "c"}, {"a", "d"}, {"b"}, {"c", "e"}, {"a"}):
+        table_.learn(words, lambda new: made.extend(sorted(new)) or [w * 2 for w in new])
+        assert all(table_.young[w] == w * 2 for w in words)
+    assert made == ["a", "b", "c", "d", "c", "e"]     # "c" came too late
+
+
+def test_other_tokenizers_do_not_use_the_word_table():
+    import json
+
+    definition = json.loads(DEFINITION)
+    definition["normalizer"] = None
+    other = bpe.Codec(json.dumps(definition))
+    assert CODEC.by_word and not other.by_word
+    plain = Tokenizer.from_str(json.dumps(definition))
+    for text in ("Hello World's CAFÉ", "abc DEF 12"):
+        assert np.frombuffer(other.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_query_equals_the_library(spark):
     folder = "/root/testdata/sf0.001"
     got = {tuple(r) for r in queries.QUERIES["op5_bpe"](spark, folder).collect()}

@@ -46,6 +46,22 @@ def test_undetermined_empty_and_clashing(spark):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_any_part_of_a_text_is_learnt(spark):
+    """Only the last third of the texts tells the languages apart; one id for all rows; repeated rows."""
+    draw = random.Random(5)
+
+    def words(letters, n):
+        return " ".join("".join(draw.choice(letters) for _ in range(draw.randint(2, 7))) for _ in range(n))
+
+    rows = [(1, words("mnopq", 600) + " " + words(letters, 300), lang) for lang, letters in (("x", "abcde"), ("y", "vwxyz")) for _ in range(40)]
+    rows += rows[:5] * 30
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=30, chars=20_000)
+    assert model.languages == ["x", "y"] and all(15_000 < len(t) < 40_000 for t in model.texts)
+    asked = [(n, words("abcde" if n % 2 else "vwxyz", 20)) for n in range(40)]
+    got = language.identify(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    assert all(r.lang_pred == ("x" if r.doc_id % 2 else "y") for r in got)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     got = queries.QUERIES["op4_language"](spark, folder)
