@@ -67,6 +67,7 @@ def search_items(items: DataFrame, query: str, limit: int = 20, sort: str = "rel
 
 
 _GRAM = 3  # characters of the pieces by which terms find items
+_BLOCK_QUERIES = 200
 
 
 def _grams(text: Column) -> Column:
@@ -98,8 +99,9 @@ def search_table(items: DataFrame, queries: DataFrame, limit: int = 20, sort: st
 
     ``queries`` has a column ``query``. The rarest run of three characters of a query's terms finds the items that may match in an index of
     such runs, then every term is verified. Queries without such a run (only short
-    terms, or terms with wildcards) are verified against all items, so they cost a
-    scan each. Blank queries find nothing.
+    terms, or terms with wildcards) go in blocks of ``_BLOCK_QUERIES``, each verified in
+    one scan of the items; a row appears only where a query matches. Blank queries
+    find nothing.
     """
     asked = queries.select("query").distinct().withColumn(
         "terms", F.filter(F.split(F.lower("query"), r"\s+"), lambda t: t != "")).where(F.size("terms") > 0)
@@ -114,12 +116,24 @@ def search_table(items: DataFrame, queries: DataFrame, limit: int = 20, sort: st
     counts = index.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = wanted.join(counts, "gram", "left").groupBy("query").agg(
         F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    pairs = rarest.join(index, "gram").select("query", "_item").unionByName(
-        asked.where(F.size("grams") == 0).select("query").join(keyed.select("_item")))
+    pairs = rarest.join(index, "gram").select("query", "_item")
     tagged = pairs.join(asked.select("query", "terms"), "query").join(keyed, "_item")
-    hit = F.forall("terms", matches_term)
-    return first_per_group(tagged.where(hit), ["query"], sort_columns(sort), limit, "rank").select(
-        "query", "rank", *items.columns)
+    found = tagged.where(F.forall("terms", matches_term)).select("query", *items.columns)
+    block: list = []
+    for row in asked.where(F.size("grams") == 0).select("query", "terms").toLocalIterator():
+        block.append(row)
+        if len(block) == _BLOCK_QUERIES:
+            found, block = found.unionByName(_scanned(keyed, block, items.columns)), []
+    if block:
+        found = found.unionByName(_scanned(keyed, block, items.columns))
+    return first_per_group(found, ["query"], sort_columns(sort), limit, "rank").select("query", "rank", *items.columns)
+
+
+def _scanned(items: DataFrame, block: list[Row], columns: Sequence[str]) -> DataFrame:
+    """Matches of a block of queries, from one scan."""
+    held = F.array(*(F.struct(F.lit(r["query"]).alias("query"), F.array(*map(F.lit, r["terms"])).alias("terms")) for r in block))
+    hits = F.filter(held, lambda q: F.forall(q["terms"], matches_term))
+    return items.select(F.explode(F.transform(hits, lambda q: q["query"])).alias("query"), *columns)
 
 
 def category_top(items: DataFrame, category: str | None = None, limit: int = 20, sort: str = "rating",

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tasteloom.config import DEFAULTS
+from tasteloom.config import DEFAULTS, Settings
 from tasteloom.functions.scalars import reason_text
 from tasteloom.functions.seeded import draw_unit
 from tasteloom.functions.vectors import dot, l2_normalize, sum_vectors
@@ -50,28 +50,60 @@ def mmr_order(relevance: np.ndarray, unit: np.ndarray, k: int, lam: float) -> li
     return picks
 
 
-def mmr_rerank(candidates: DataFrame, vectors: DataFrame, k: int, lambdas: Sequence[float] = (0.7,)) -> DataFrame:
+def mmr_rerank(candidates: DataFrame, vectors: DataFrame, k: int, lambdas: Sequence[float] = (0.7,),
+               opts: Settings = DEFAULTS) -> DataFrame:
     """MMR order of every list for every lambda: (user_id, lambda, item_id, rank, score).
 
-    ``candidates``: (user_id, item_id, rank, score), bounded lists. Items without a
-    vector are dropped; a list with none at all keeps its head unchanged.
+    ``candidates``: (user_id, item_id, rank, score), bounded lists; ``vectors``:
+    (item_id, vec), an id once. Items without a vector are dropped; a list with none at
+    all keeps its head unchanged. Lists carry ids only and vectors are broadcast while
+    their counted size is under ``opts.broadcast_bytes``; beyond it they are joined.
     """
-    known = candidates.select("user_id", "item_id", "rank", F.col("score").cast("double").alias("score")).join(
-        vectors.select("item_id", "vec"), "item_id"
-    )
-    packed = pack_lists(known, "user_id", "rank", ["item_id", "score", "vec"]).withColumn("vec", F.flatten("vec"))
     levels = [float(x) for x in lambdas]
+    rows = candidates.select("user_id", "item_id", "rank", F.col("score").cast("double").alias("score"))
+    kinds = dict(candidates.dtypes)
+    made = f"user_id {kinds['user_id']}, lambda double, item_id {kinds['item_id']}, rank int, score double"
+    n = vectors.count()
+    if n * (vector_dim(vectors) if n else 0) * 8 <= opts.broadcast_bytes:
+        found = vectors.select("item_id", "vec").toArrow()
+        flat = np.array(found["vec"].combine_chunks().flatten(), dtype=float).reshape(n, -1) if n else np.zeros((0, 1))
+        flat /= np.linalg.norm(flat, axis=1, keepdims=True) + 1e-9
+        shared = candidates.sparkSession.sparkContext.broadcast((pd.Index(found["item_id"].to_pandas()), flat))
+
+        def looked_up(batch: pd.DataFrame) -> Iterator[tuple]:
+            index, unit = shared.value
+            for ids, ranks, rel in zip(batch["item_id"], batch["rank"], batch["score"]):
+                at = index.get_indexer(ids)
+                has = at >= 0
+                yield (ids[has], rel[has], unit[at[has]]) if has.any() else (ids[ranks <= k], rel[ranks <= k], None)
+
+        return pack_lists(rows, "user_id", "rank", ["item_id", "score"]).mapInPandas(_mmr_kernel(looked_up, k, levels), made)
+
+    known = rows.join(vectors.select("item_id", "vec"), "item_id")
+    packed = pack_lists(known, "user_id", "rank", ["item_id", "score", "vec"]).withColumn("vec", F.flatten("vec"))
+
+    def carried(batch: pd.DataFrame) -> Iterator[tuple]:
+        for ids, rel, vec in zip(batch["item_id"], batch["score"], batch["vec"]):
+            v = np.asarray(vec, np.float64).reshape(len(rel), -1)
+            yield ids, rel, v / (np.linalg.norm(v, axis=1, keepdims=True) + 1e-9)
+
+    picked = packed.mapInPandas(_mmr_kernel(carried, k, levels), made)
+    unknown = rows.join(known.select("user_id").distinct(), "user_id", "left_anti").where(F.col("rank") <= k)
+    plain = unknown.withColumn("lambda", F.explode(F.array(*(F.lit(x) for x in levels)))).select(
+        "user_id", "lambda", "item_id", F.col("rank").cast("int").alias("rank"), "score")
+    return picked.unionByName(plain)
+
 
+def _mmr_kernel(lists_of, k: int, levels: Sequence[float]):
+    """MMR of packed lists; ``lists_of`` gives (ids, relevance, unit vectors) of each row, no vectors to keep a list."""
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
             items, scores, sizes = [], [], []
-            for ids, rel, flat in zip(batch["item_id"], batch["score"], batch["vec"]):
-                v = np.asarray(flat, np.float64).reshape(len(rel), -1)
-                v = v / (np.linalg.norm(v, axis=1, keepdims=True) + 1e-9)
+            for ids, rel, unit in lists_of(batch):
                 for lam in levels:
-                    picks = mmr_order(rel, v, k, lam)
+                    picks = list(range(len(ids))) if unit is None else mmr_order(rel, unit, k, lam)
                     items.append(ids[picks])
                     scores.append(rel[picks])
                     sizes.append(len(picks))
@@ -83,15 +115,7 @@ def mmr_rerank(candidates: DataFrame, vectors: DataFrame, k: int, lambdas: Seque
                 "score": np.concatenate(scores),
             })
 
-    kinds = dict(candidates.dtypes)
-    picked = packed.mapInPandas(
-        kernel, f"user_id {kinds['user_id']}, lambda double, item_id {kinds['item_id']}, rank int, score double"
-    )
-    unknown = candidates.join(known.select("user_id").distinct(), "user_id", "left_anti").where(F.col("rank") <= k)
-    plain = unknown.withColumn("lambda", F.explode(F.array(*(F.lit(x) for x in levels)))).select(
-        "user_id", "lambda", "item_id", F.col("rank").cast("int").alias("rank"), F.col("score").cast("double").alias("score")
-    )
-    return picked.unionByName(plain)
+    return kernel
 
 
 def list_similarity(lists: DataFrame, vectors: DataFrame, group: Sequence[str] = ("user_id",)) -> DataFrame:

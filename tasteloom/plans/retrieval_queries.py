@@ -232,6 +232,18 @@ def _(w):
     return long_rank(found, "user_id", "item_id", "score")
 
 
+@query("ivf_kmeans_recall")
+def _(w):
+    """Share of the exact lists that 4 of 16 trained cells give, and the share of items they hold."""
+    queries = write_stage(user_vectors(w), "queries")
+    cells = write_stage(R.train_cells(w.vectors, 16), "cells")
+    exact = write_stage(R.topn_inner_product(queries, w.vectors, 20, normalize=True).select("user_id", "item_id"), "exact")
+    some = R.topn_ivf(queries, w.vectors, cells, 20, nprobe=4).select("user_id", "item_id", F.lit(1).alias("hit"))
+    return rounded(exact.join(some, ["user_id", "item_id"], "left").agg(
+        F.lit(4).alias("nprobe"), F.count("*").alias("n_exact"), F.count("hit").alias("n_found"),
+        (F.count("hit") / F.count("*")).alias("recall_20")))
+
+
 @query("similar_items", """
 SELECT item_id, neighbor_id, score, rank FROM similar_all
 WHERE rank <= 10 AND item_id IN (SELECT item_id FROM pop_recs)""")

@@ -78,3 +78,16 @@ def test_guarded_neighbours(frame):
     # 2 and 4 have no neighbours and start from the popular list (2, 3); 3 is alone in its category
     assert rows(got.where("item_id in (1, 5)"), "item_id", "rank", "neighbor_id") == [(1, 1, 2), (1, 2, 4), (5, 1, 1)]
     assert rows(got.where("item_id = 4"), "rank", "neighbor_id") == [(1, 2), (2, 1)]
+
+
+def test_mmr_with_joined_vectors_equals_broadcast_ones(lists, frame):
+    from dataclasses import replace
+
+    from tasteloom.config import DEFAULTS
+
+    _vec, vectors, _raw, cands = lists
+    odd = frame([(999, 100_000 + n, n + 1, 1.0 - n / 10) for n in range(6)], cands.schema)    # a list without any vector
+    both = cands.unionByName(odd)
+    a = D.mmr_rerank(both, vectors, 4, (0.7, 0.3))
+    b = D.mmr_rerank(both, vectors, 4, (0.7, 0.3), replace(DEFAULTS, broadcast_bytes=0))
+    assert rows(a) == rows(b) and rows(a.where("user_id = 999 AND lambda = 0.7"), "item_id") == [(100_000 + n,) for n in range(4)]

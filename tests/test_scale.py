@@ -57,6 +57,21 @@ def test_search_table_equals_single_searches(frame, queries):
     assert got == {q: v for q, v in want.items() if v}
 
 
+def test_a_thousand_short_searches(frame, monkeypatch):
+    """Blocks of short and wildcard searches, one scan each and no join of all pairs."""
+    monkeypatch.setattr(G, "_BLOCK_QUERIES", 300)
+    items = frame([(n, f"{chr(97 + n % 26)}{chr(97 + n // 26 % 26)} x{n}", None, "k", 1.0, float(n % 7)) for n in range(200)],
+                  "item_id int, title string, brand string, category string, price double, avg_rating double")
+    queries = [f"{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}" for n in range(676)] + [f"x_{n}" for n in range(324)]
+    found = G.search_table(items, frame([(q,) for q in queries], "query string"), 3)
+    assert "CartesianProduct" not in found._jdf.queryExecution().toString() and "NestedLoop" not in found._jdf.queryExecution().toString()
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query"], []).append(r["item_id"])
+    for q in queries[::97]:
+        assert got.get(q, []) == [r["item_id"] for r in G.search_items(items, q, 3).collect()]
+
+
 def test_latency_of_a_hot_value(frame):
     log = frame([({"a": 5.0, "b": float(n)},) for n in range(100)] + [({"a": 9.0},)], "latency_ms map<string,double>")
     assert rows(O.latency_summary(log)) == [("a", 101, pytest.approx((500 + 9) / 101), 5.0), ("b", 100, 49.5, 94.0)]
