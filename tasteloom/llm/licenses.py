@@ -1,13 +1,16 @@
 """Licence scans: notices and licence files by TF-IDF cosine to templates, then inheritance down directories.
 
 A unit is a line or sentence of a document (a notice), its whole text (a licence
-file), or a window over its words of a template's length, laid where three words in
-a row of the template stand, aligned with them (a notice wrapped over lines, with
-or without comment marks). Windows have templates of up to ``WINDOW`` words: the
-notices, headers of source files and the short licences. The long licences are
-compared with whole texts and lines only. Weights come from the notices; words
-outside them weigh as much as the rarest word inside. A unit
-can reach the threshold with a template only if it holds one of the template's
+file), or a window over its words of a template's length, aligned with three words in
+a row of the template (a notice wrapped over lines, with or without comment marks; a
+licence that follows a header or code). Of the long licences every eighth such run
+that no other template has lays windows: a text close enough to match has hundreds of
+the others' kind. Words weigh by how few templates have them, counts are damped, and
+words that any English text has weigh next to nothing, so that a licence is told by
+what it says and not by its "the" and "of". A whole licence must be closer to its
+template than a notice, as licences quote each other.
+
+A unit can reach the threshold with a template only if it holds one of the template's
 anchor words, chosen so that without them what remains of the template is too
 short a vector; and only if the template's words that it holds make up the
 threshold's part of the template's vector. So units that fail either are left out
@@ -52,9 +55,10 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
-# fixed values: more templates, whose words do not change the weights: notices, headers of source files, whole licences
+# fixed values: more notices and headers of source files, and whole licences
 HEADERS: tuple[tuple[str, str], ...] = (
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                 "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -72,11 +76,17 @@ HEADERS: tuple[tuple[str, str], ...] = (
 )
 _TEXTS = Path(__file__).with_name("licence_texts")
 BODIES: tuple[tuple[str, str], ...] = tuple((p.stem, p.read_text("utf-8")) for p in sorted(_TEXTS.glob("*.txt")))
-WINDOW = 400
-# fixed values: words that any text may have, taken as anchors only when a template has nothing else
-COMMON = frozenset("a and any are as at be by for form from in is it may not of on or source terms that the this to under use "
-                   "with without work you code can following free person".split())
-THRESHOLD = 0.75
+# fixed values: words that any English text has
+COMMON = frozenset("""
+a about above after again all also am an and any are as at be because been before being below between both but by can
+code could did do does doing down during each few following for form free from further had has have having he her here hers
+him his how i if in into is it its itself me more most my no nor not of off on once only or other our out over own person
+same she should so some source such terms than that the their them then there these they this those through to too under
+until up upon use very was we were what when where which while who whom why will with within without work would you your
+""".split())
+_COMMON_WEIGHT = 0.1     # of these words, against 1 of a word that all templates have
+LONG, _EVERY = 400, 8    # templates of more words lay windows by every eighth of their own runs of three words
+THRESHOLD, BODY_THRESHOLD = 0.75, 0.87
 _SPLIT = r"[^\p{L}\p{N}]+"
 _UNIT = r"\n+|(?<=[.!?])\s+"
 
@@ -86,28 +96,31 @@ def _words(text: str) -> list[str]:
 
 
 class Vectors:
-    """Unit vectors of the templates, the weights of their words, and the anchor words for a threshold."""
-
-    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD, more=HEADERS + BODIES):
-        counts = [(name, Counter(_words(text))) for name, text in templates]
-        seen = Counter(w for _, c in counts for w in c)
-        n = len(counts)
-        self.idf = {w: log((1 + n) / (1 + k)) + 1 for w, k in seen.items()}
-        self.other = log(1 + n) + 1
-        self.threshold, self.vectors, self.anchors = threshold, [], set()
+    """Unit vectors of the templates with their thresholds, the weights of words, and the anchor words."""
+
+    def __init__(self, templates=TEMPLATES + HEADERS, threshold: float = THRESHOLD, bodies=BODIES, body_threshold: float = BODY_THRESHOLD):
+        parted = [(name, _words(text), least) for group, least in ((templates, threshold), (bodies, body_threshold)) for name, text in group]
+        seen = Counter(w for _, own, _ in parted for w in set(own))
+        self.idf = {w: _COMMON_WEIGHT if w in COMMON else log((1 + len(parted)) / (1 + k)) + 1 for w, k in seen.items()}
+        self.idf |= {w: _COMMON_WEIGHT for w in COMMON}
+        self.other = log(1 + len(parted)) + 1
+        self.vectors: list[tuple[str, float, dict[str, float]]] = []
+        self.anchors: set[str] = set()
+        self.longest = max((len(own) for _, own, _ in parted), default=0)
+        runs = Counter(" ".join(own[at: at + 3]) for _, own, _ in parted for at in range(len(own) - 2))
         self.places: dict[str, set[tuple[int, int]]] = {}  # three words in a row: where they stand in templates of how many words
-        for _, text in (*templates, *more):
-            own = _words(text)
-            for at in range(len(own) - 2 if len(own) <= WINDOW else 0):
-                self.places.setdefault(" ".join(own[at: at + 3]), set()).add((at, len(own)))
-        for name, c in counts + [(name, Counter(_words(text))) for name, text in more]:
-            raw = {w: k * self.idf.get(w, self.other) for w, k in c.items()}
+        for name, own, least in parted:
+            for at in range(len(own) - 2):
+                run = " ".join(own[at: at + 3])
+                if len(own) <= LONG or (runs[run] == 1 and at % _EVERY == 0):
+                    self.places.setdefault(run, set()).add((at, len(own)))
+            raw = {w: (1 + log(k)) * self.idf[w] for w, k in Counter(own).items()}
             size = sqrt(sum(x * x for x in raw.values()))
             vector = {w: x / size for w, x in raw.items()}
-            self.vectors.append((name, vector))
+            self.vectors.append((name, least, vector))
             rest = 1.0
             for w, x in sorted(vector.items(), key=lambda p: (p[0] in COMMON, len(p[0]) < 4, -p[1], p[0])):
-                if rest < threshold ** 2:
+                if rest < least ** 2:
                     break
                 self.anchors.add(w)
                 rest -= x * x
@@ -159,8 +172,9 @@ def within_reach(words: Column, vectors: Vectors) -> Column:
     the unit has (Cauchy and Schwarz), so nothing that matches is refused. ``need``
     is the least number of words that can be enough.
     """
-    enough, rows = vectors.threshold ** 2 * (1 - 1e-9), []
-    for _, v in vectors.vectors:
+    rows = []
+    for _, least, v in vectors.vectors:
+        enough = least ** 2 * (1 - 1e-9)
         parts = sorted(((x * x, w) for w, x in v.items()), reverse=True)
         total, need = 0.0, 0
         while need < len(parts) and total < enough:
@@ -169,21 +183,21 @@ def within_reach(words: Column, vectors: Vectors) -> Column:
         same = {}
         for x, w in parts:
             same.setdefault(round(x, 15), []).append(w)  # words that weigh alike are counted together
-        rows.append({"need": need, "words": [w for _, w in parts], "parts": [{"w": w, "x": x} for x, w in same.items()]})
-    templates = _literal(rows, "need:int,words:array<string>,parts:array<struct<w:array<string>,x:double>>")
-    vocabulary = F.array(*map(F.lit, sorted({w for _, v in vectors.vectors for w in v})))
+        rows.append({"need": need, "enough": enough, "words": [w for _, w in parts], "parts": [{"w": w, "x": x} for x, w in same.items()]})
+    templates = _literal(rows, "need:int,enough:double,words:array<string>,parts:array<struct<w:array<string>,x:double>>")
+    vocabulary = F.array(*map(F.lit, sorted({w for *_, v in vectors.vectors for w in v})))
 
     def reaches(t: Column, known: Column) -> Column:
         mass = F.aggregate(t["parts"], F.lit(0.0), lambda m, p: m + p["x"] * F.size(F.array_intersect(p["w"], known)))
-        return (F.size(known) >= t["need"]) & (mass >= enough)
+        return (F.size(known) >= t["need"]) & (mass >= t["enough"])
 
     known = F.array_intersect(words, vocabulary)
     return F.exists(F.array(known), lambda k: F.exists(templates, lambda t: (F.size(k) >= t["need"]) & F.exists(
         F.array(F.array_intersect(t["words"], k)), lambda own: reaches(t, own))))
 
 
-def match_units(units: DataFrame, vectors: Vectors, threshold: float) -> DataFrame:
-    """``doc_id, key, unit, license, score``: the best template of each unit whose cosine reaches ``threshold``.
+def match_units(units: DataFrame, vectors: Vectors) -> DataFrame:
+    """``doc_id, key, unit, license, score``: the best of the templates whose threshold each unit reaches.
 
     ``units`` has ``doc_id, key, unit, text``. Ties go to the licence first by name.
     """
@@ -192,23 +206,23 @@ def match_units(units: DataFrame, vectors: Vectors, threshold: float) -> DataFra
     terms = terms.groupBy("doc_id", "key", "unit", "word").agg(F.count("*").alias("tf"))
     idf = _table(spark, "word:string,idf:double", [{"word": w, "idf": x} for w, x in sorted(vectors.idf.items())])
     terms = terms.join(F.broadcast(idf), "word", "left").select(
-        "doc_id", "key", "unit", "word", (F.col("tf") * F.coalesce("idf", F.lit(vectors.other))).alias("w"))
-    entries = [{"template": n, "license": name, "word": w, "x": x}
-               for n, (name, v) in enumerate(vectors.vectors) for w, x in sorted(v.items())]
-    templates = _table(spark, "template:int,license:string,word:string,x:double", entries)
+        "doc_id", "key", "unit", "word", ((1 + F.log("tf")) * F.coalesce("idf", F.lit(vectors.other))).alias("w"))
+    entries = [{"template": n, "license": name, "least": least, "word": w, "x": x}
+               for n, (name, least, v) in enumerate(vectors.vectors) for w, x in sorted(v.items())]
+    templates = _table(spark, "template:int,license:string,least:double,word:string,x:double", entries)
     size = terms.groupBy("doc_id", "key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    dots = terms.join(F.broadcast(templates), "word").groupBy("doc_id", "key", "unit", "template", "license").agg(
+    dots = terms.join(F.broadcast(templates), "word").groupBy("doc_id", "key", "unit", "template", "license", "least").agg(
         F.sum(F.col("w") * F.col("x")).alias("dot"))
     size = size.withColumnsRenamed({"doc_id": "s_doc", "key": "s_key", "unit": "s_unit"})
     scored = dots.join(size, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("key") == F.col("s_key"))
                        & (F.col("unit") == F.col("s_unit"))).withColumn(
         "score", F.round(F.least(F.col("dot") / F.col("size"), F.lit(1.0)), 9))
-    best = scored.filter(F.col("score") >= threshold).groupBy("doc_id", "key", "unit").agg(
+    best = scored.filter("score >= least").groupBy("doc_id", "key", "unit").agg(
         F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("b"))
     return best.select("doc_id", "key", "unit", F.col("b.license").alias("license"), (-F.col("b.less")).alias("score"))
 
 
-def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float = THRESHOLD, more=HEADERS + BODIES) -> DataFrame:
+def scan(docs: DataFrame, path: Column, vectors: Vectors | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, path, license, found, score, n_notices``.
 
     ``path`` (over the columns of ``docs``) names the document's place, directories
@@ -220,7 +234,7 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
     ``n_notices`` counts lines and sentences; where none of them matches, the places
     of windows that do, those that overlap being one.
     """
-    vectors = Vectors(templates, threshold, more)
+    vectors = vectors or Vectors()
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), path.cast("string").alias("path"),
                        docs["text"].cast("string").alias("text")).withColumn("text", text_or_empty())
     rows = rows.select("doc_id", "path", "text", F.xxhash64("text").alias("key"),
@@ -235,14 +249,14 @@ def scan(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float =
         anchored("text"))
     units = notices.unionByName(some.select("doc_id", "key", F.lit(-1).alias("unit"), "text"))
     laid = some.select("doc_id", "key", F.explode(windows_of(words_of(F.col("text")), vectors)).alias("l"))
-    # a window's number tells its place and size
-    windows = laid.select("doc_id", "key", (-2 - (F.col("l.start").cast("bigint") * (WINDOW + 1) + F.col("l.size"))).alias("unit"), "l.text")
+    base = vectors.longest + 1       # a window's number tells its place and size
+    windows = laid.select("doc_id", "key", (-2 - (F.col("l.start").cast("bigint") * base + F.col("l.size"))).alias("unit"), "l.text")
     units = units.withColumn("unit", F.col("unit").cast("bigint")).unionByName(windows)
     units = units.filter(within_reach(words_of(F.col("text")), vectors))
-    found = match_units(units.dropDuplicates(["doc_id", "key", "unit"]), vectors, threshold)
+    found = match_units(units.dropDuplicates(["doc_id", "key", "unit"]), vectors)
     number = -2 - F.col("unit")
-    size = (number % (WINDOW + 1)).cast("int")
-    start = ((number - size) / (WINDOW + 1)).cast("int")
+    size = (number % base).cast("int")
+    start = ((number - size) / base).cast("int")
     own = found.groupBy("doc_id", "key").agg(
         F.min(F.struct(F.when(F.col("unit") == -1, 0).otherwise(1).alias("part"), (-F.col("score")).alias("less"), "license")).alias("b"),
         F.count_if(F.col("unit") >= 0).alias("lines"), _groups(F.collect_list(F.when(F.col("unit") < -1, F.struct(

@@ -1,6 +1,7 @@
+import random
 import re
 from collections import Counter
-from math import sqrt
+from math import log, sqrt
 
 from pyspark.sql import functions as F
 
@@ -12,13 +13,13 @@ V = licenses.Vectors()
 
 def plain(unit):
     counts = Counter(w for w in re.split(r"[\W_]+", unit.lower()) if w)
-    raw = {w: n * V.idf.get(w, V.other) for w, n in counts.items()}
+    raw = {w: (1 + log(n)) * V.idf.get(w, V.other) for w, n in counts.items()}
     size = sqrt(sum(x * x for x in raw.values()))
     if not size:
         return None
-    scored = [(-round(min(sum(x * v.get(w, 0) for w, x in raw.items()) / size, 1.0), 6), name) for name, v in V.vectors]
-    best = min(scored)
-    return (best[1], -best[0]) if -best[0] >= licenses.THRESHOLD else None
+    scored = [(-round(min(sum(x * v.get(w, 0) for w, x in raw.items()) / size, 1.0), 6), name, least) for name, least, v in V.vectors]
+    scored = [(less, name) for less, name, least in scored if -less >= least]
+    return (min(scored)[1], -min(scored)[0]) if scored else None
 
 
 def plain_own(text):
@@ -107,3 +108,47 @@ def test_wrapped_notices_are_counted_by_place(spark):
     docs = spark.createDataFrame([(1, wrapped + "some other words in between " * 9 + "\n" + wrapped)], "doc_id bigint, text string")
     r = licenses.scan(docs, F.lit("a/b")).first()
     assert (r.license, r.found, r.n_notices) == ("GPL-3.0", "notice", 2)
+
+
+def test_other_licences_and_prose_do_not_match(spark):
+    """A licence that is not listed, long prose and plain package texts have no licence; the listed ones only their own."""
+    prose = ("The work of the library is to keep the books of the town and to lend them to any person who may ask for them. "
+             "It is not the source of all terms under which the use of a book is free, but the copies are distributed as they are. ") * 60
+    unlisted = ("Everyone is permitted to copy and distribute verbatim or modified copies of this licence document, and changing it is allowed "
+                "as long as the name is changed. You just do what you want to, and nobody may be held liable for anything. ") * 8
+    rows = [(1, prose, "p/README"), (2, unlisted, "u/COPYING"), (3, "int main() { return 0; }", "u/x.c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, path string")
+    assert {r.license for r in licenses.scan(docs, F.col("path")).collect()} == {None}
+    close = {(a, b): sum(x * w.get(k, 0) for k, x in v.items()) for a, _, v in V.vectors[-len(licenses.BODIES):]
+             for b, _, w in V.vectors[-len(licenses.BODIES):] if a != b}
+    assert close["GPL-2.0", "GPL-3.0"] < 0.7 and close["Apache-2.0", "MPL-2.0"] < 0.6 and max(close.values()) < licenses.BODY_THRESHOLD
+    assert not V.anchors & licenses.COMMON
+
+
+def test_long_licence_behind_code(spark):
+    """A whole licence in the middle of other text is found by a window of its length."""
+    code = "\n".join(f"int f{n}(int a{n}, int b{n}) {{ return c{n}; }}" for n in range(1500))
+    rows = [(n, code + "\n" + text + "\n" + code, "x") for n, (_, text) in enumerate(licenses.BODIES)]
+    got = {r.doc_id: (r.license, r.found) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string, path string"), F.col("path")).collect()}
+    assert got == {n: (name, "notice") for n, (name, _) in enumerate(licenses.BODIES)}
+
+
+def test_windows_against_brute_force(spark):
+    """Every window of every template's length, laid at every word."""
+    draw = random.Random(4)
+    notice = licenses._words(licenses.TEMPLATES[9][1])
+    rows = []
+    for n in range(12):
+        own = [w for w in notice if draw.random() > 0.08 * (n % 5)]
+        text = [draw.choice("lorem ipsum dolor sit amet elit sed tempor".split()) for _ in range(30)]
+        rows.append((n, "\n".join([*text, *own, *text]), "x"))
+    sizes = sorted({s for p in V.places.values() for _, s in p if s <= 40})
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string, path string"), F.col("path")).collect()}
+    for n, text, _ in rows:
+        words = text.split("\n")
+        best = [plain(" ".join(words[at: at + size])) for size in sizes for at in range(len(words) - size + 1)]
+        best = [b for b in best if b]
+        if max((s for _, s in best), default=0) >= 0.8:
+            assert got[n] == min(best, key=lambda b: (-b[1], b[0]))[0]
+        if not best:
+            assert got[n] is None
