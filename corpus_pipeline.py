@@ -42,8 +42,19 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is connected by similar shingles, the one with the smallest id."""
-    return _matching(docs, jaccard_join.join(docs).filter("NOT kept"), "left_anti").select(*COLUMNS)
+    """One document of each group that is connected by similar shingles, the one with the smallest id.
+
+    Of rows that repeat this id and its text one stays. Texts without words, null ones
+    too, are in no group, and all stay.
+    """
+    state = jaccard_join.join(docs).groupBy("doc_id", "key").agg(F.count_if("kept").alias("stay"), F.count("*").alias("n"))
+    state = write_stage(state, "near-copies")
+    kept = _matching(docs, state.filter("stay = 0"), "left_anti").select(*COLUMNS)
+    again = state.filter("stay > 0 AND stay < n")
+    if again.isEmpty():
+        return kept
+    once = _matching(docs, again, "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return _matching(kept, again, "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,13 @@ def test_stages_take_nulls_repeats_and_nothing(spark):
             assert docs.columns == list(corpus_pipeline.COLUMNS)
         made = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
         assert sorted(r.doc_id for r in made.collect()) == ([1, 2, 3] if some else [])
+
+
+def test_near_copies_among_repeated_rows(spark):
+    """The stage by itself, before exact copies are dropped: one row of each group stays, and all without words."""
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    rows = [(4, long), (4, long), (9, long), (5, long + " nineteen"), (7, ""), (7, ""), (None, None), (None, "a b c d e f"), (None, "a b c d e f"),
+            (8, "something else that nobody wrote before this day")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "/root/testdata/sf0.001").collect()), key=str)
+    assert got == sorted([(4, long), (7, ""), (7, ""), (None, None), (None, "a b c d e f"), (8, rows[-1][1])], key=str)
