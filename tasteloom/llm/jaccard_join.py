@@ -1,12 +1,13 @@
-"""Near-duplicate join: n-gram Jaccard similarity by a MinHash LSH forest and exact verification.
+"""Near-duplicate join: n-gram Jaccard similarity by MinHash prefixes and exact verification.
 
 Documents with the same set of shingles are one class; everything after that is
-about classes. A class has ``TREES`` paths of ``DEPTH`` MinHash values, the
-branches of as many prefix tries. The matched prefix starts at the full depth and
-is shortened until a pair at the threshold meets in some tree with the target
-probability. Classes that share a prefix are tied to the smallest of them, never
-all to each other, and connected ties make clusters; two classes that meet in any
-tree are in one cluster.
+about classes. A class has ``TREES`` paths of ``DEPTH`` MinHash values. The length of
+the prefix that is matched is a constant of the threshold: the longest at which a pair
+at the threshold meets in some path with the target probability. It is not shortened
+by what is found, so this is banding with spare values rather than the adaptive
+descent of a forest. Classes that share a prefix are tied to the smallest of them,
+never all to each other, and connected ties make clusters; two classes that meet in
+any path are in one cluster.
 
 Clusters are verified exactly. A large cluster is parted by size of the sets
 (similar sets differ by a factor of 1 / threshold at most, so only neighbouring
