@@ -1,13 +1,21 @@
-"""Near-duplicate join: n-gram Jaccard similarity by MinHash prefixes and exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest and exact verification.
 
 Documents with the same set of shingles are one class; everything after that is
-about classes. A class has ``TREES`` paths of ``DEPTH`` MinHash values. The length of
-the prefix that is matched is a constant of the threshold: the longest at which a pair
-at the threshold meets in some path with the target probability. It is not shortened
-by what is found, so this is banding with spare values rather than the adaptive
-descent of a forest. Classes that share a prefix are tied to the smallest of them,
-never all to each other, and connected ties make clusters; two classes that meet in
-any path are in one cluster.
+about classes. Each of ``TREES`` trees is a prefix trie of ``DEPTH`` MinHash values
+per class. The tries are matched from the whole paths upwards: a trie node that holds
+several clusters ties them to the smallest of their members, never all to each other,
+and connected ties make the clusters of the next, shorter prefix. How far that goes
+depends on what is there and what was found:
+
+* a class takes part until the recall of a pair at the least similarity that its
+  number of shingles allows reaches the target. A set too small for any partner
+  takes no part, some small ones need whole paths only;
+* paths whose shortest prefix no other class has are left out before the first level;
+* paths whose shortest prefix lies within one cluster are settled and leave;
+* the last prefix is the longest with the target recall at the threshold itself.
+
+So the pairs found are those of the shortest prefix, and the shorter a prefix gets,
+the fewer classes are still matched.
 
 Clusters are verified exactly. A large cluster is parted by size of the sets
 (similar sets differ by a factor of 1 / threshold at most, so only neighbouring
@@ -21,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import log
 
 import numpy as np
@@ -36,6 +45,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BLOCK_CLASSES, _BLOCK_SHINGLES = 256, 300_000   # most of a block, about
 _COLUMNS = 8192
+_SMALL = 256                                     # shingles up to which the possible similarities are told apart
 _LAST = 2**63 - 1
 _powers = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
 
@@ -104,6 +114,24 @@ def prefix_depth(threshold: float, target: float) -> int:
     return depth
 
 
+@lru_cache(maxsize=4096)
+def stop_depth(n: int, threshold: float, target: float) -> int:
+    """The prefix length at which a set of ``n`` shingles leaves the descent.
+
+    A partner lacks some of the shingles and adds some; the least similarity of the
+    threshold or more that whole numbers allow sets the length. ``DEPTH + 1`` if there
+    can be no partner but an equal set. Large sets take the threshold for it.
+    """
+    if n > _SMALL:
+        return prefix_depth(threshold, target)
+    shares = []
+    for gone in range(n):
+        new = int((n - gone) / threshold + 1e-9) - n
+        if new >= 0 and gone + new:
+            shares.append((n - gone) / (n + new))
+    return prefix_depth(min(shares), target) if shares else DEPTH + 1
+
+
 def _cross(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of every set of ``a`` with every set of ``b``."""
     flat_a, flat_b = np.concatenate(a), np.concatenate(b)
@@ -223,6 +251,35 @@ def _units(members: DataFrame, threshold: float) -> DataFrame:
         *members.columns, F.inline(F.concat(same, over, under)))
 
 
+def forest(paths: DataFrame, lowest: int) -> DataFrame:
+    """``node, root``: the clusters of classes that meet in a trie of ``paths``.
+
+    ``paths`` has a row per class and tree: ``node``, the depth ``stop`` at which the
+    class leaves, ``low`` (hash of the tree and the first ``lowest`` values) and ``rest``
+    (the other values, two bytes each). Classes that meet no other are left out.
+    """
+    paths = write_stage(paths, "forest")
+    met = paths.groupBy("low").agg(F.count("*").alias("m")).filter("m > 1").select("low")
+    living = write_stage(paths.join(met, "low", "left_semi").withColumn("root", F.col("node")), "forest-living")
+    clusters = living.select("node", "root").limit(0)
+    for depth in range(DEPTH, lowest - 1, -1):
+        here = living.filter(F.col("stop") <= depth).select("root", F.xxhash64(
+            "low", F.substring("rest", 1, 2 * (depth - lowest))).alias("prefix"))
+        parted = here.groupBy("prefix").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most")
+        ties = write_stage(here.join(parted.select("prefix", "least"), "prefix").filter("root != least").select(
+            "root", "least").distinct(), "forest-ties")
+        if not ties.isEmpty():
+            known = clusters.filter("node != root").select("node", "root")
+            clusters = write_stage(components(ties.toDF("node", "root").unionByName(known), "node", "root"), "forest-clusters")
+            living = living.drop("root").join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if depth > lowest:
+            living = living.filter(F.col("stop") < depth)
+            parted = living.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(
+                "least != most").select("low")
+            living = write_stage(living.join(parted, "low", "left_semi"), "forest-living")
+    return clusters
+
+
 def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, target: float = 0.9999) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, key, class_id, n_links, kept``.
 
@@ -242,18 +299,20 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, target: float
 
     def signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            digests, sizes, signatures = [], [], []
+            digests, sizes, stops, signatures = [], [], [], []
             for text in part["text"].to_pylist():
                 own = shingles(text, words)
                 sizes.append(len(own))
+                stops.append(stop_depth(len(own), threshold, target) if len(own) else DEPTH + 1)
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                 signatures.append(signature(own) if len(own) else None)
             yield pa.record_batch(
                 [part["doc_id"], part["key"], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(signatures, pa.binary())], ["doc_id", "key", "digest", "n", "signature"])
+                 pa.array(stops, pa.int8()), pa.array(signatures, pa.binary())],
+                ["doc_id", "key", "digest", "n", "stop", "signature"])
 
     made = rows.select("doc_id", "key", "text").mapInArrow(
-        signed, "doc_id bigint, key bigint, digest binary, n bigint, signature binary")
+        signed, "doc_id bigint, key bigint, digest binary, n bigint, stop tinyint, signature binary")
     made = write_stage(made.select(F.monotonically_increasing_id().alias("row_id"), "*"), "jaccard-rows")
     order = F.coalesce("doc_id", F.lit(_LAST))
     classes = made.filter("digest IS NOT NULL").groupBy("digest").agg(
@@ -261,15 +320,13 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, target: float
         F.count("*").alias("size"), F.min("n").alias("n"))
     classes = write_stage(classes, "jaccard-classes")
 
-    depth = prefix_depth(threshold, target)
-    paths = made.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").select(
-        F.col("row_id").alias("node"), F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(
-                t, F.col("signature").substr(t * (2 * DEPTH) + 1, F.lit(2 * depth))))).alias("prefix"))
-    paths = write_stage(paths, "forest")
-    met = paths.groupBy("prefix").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1")
-    ties = paths.join(met.select("prefix", "least"), "prefix").filter("node != least").select("node", "least")
-    clusters = components(ties, "node", "least")
+    lowest, width = prefix_depth(threshold, target), 2 * DEPTH
+    paths = made.filter(F.col("stop") <= DEPTH).join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
+    paths = paths.select(F.col("row_id").alias("node"), "stop", F.inline(F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
+            F.xxhash64(t, F.col("signature").substr(t * width + 1, F.lit(2 * lowest))).alias("low"),
+            F.col("signature").substr(t * width + 2 * lowest + 1, F.lit(width - 2 * lowest)).alias("rest")))))
+    clusters = forest(paths, lowest)
 
     members = clusters.join(classes.select("node", "first_id", "rep_key", "size", "n"), "node")
     units = _units(members, threshold).withColumn("rep_doc", F.when(F.col("first_id") != _LAST, F.col("first_id")))

@@ -93,6 +93,62 @@ def test_prefix_is_shortened_until_the_recall_is_met():
     assert jaccard_join.prefix_depth(0.99, 0.9) == jaccard_join.DEPTH
 
 
+def test_small_sets_leave_at_the_depth_of_their_least_similarity():
+    for n in range(1, 40):
+        shares = [i / (n + m - i) for m in range(1, 60) for i in range(1, min(n, m) + 1) if (i, m) != (n, n)]
+        able = [s for s in shares if s >= 0.8 - 1e-9]
+        want = jaccard_join.prefix_depth(min(able), 0.9999) if able else jaccard_join.DEPTH + 1
+        assert jaccard_join.stop_depth(n, 0.8, 0.9999) == want
+    assert {jaccard_join.stop_depth(n, 0.8, 0.9999) for n in (3, 7, 8, 5000)} == {9, 8, 6}
+
+
+def plain_clusters(paths, lowest):
+    """Classes that share a prefix of some length at which both are still matched."""
+    root = {n: n for n, *_ in paths}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for depth in range(lowest, jaccard_join.DEPTH + 1):
+        first = {}
+        for node, stop, low, rest in paths:
+            if stop <= depth:
+                x, y = find(node), find(first.setdefault((low, bytes(rest[:2 * (depth - lowest)])), node))
+                root[max(x, y)] = min(x, y)
+    out = {n: find(n) for n in root}
+    size = Counter(out.values())
+    return {n: r for n, r in out.items() if size[r] > 1}
+
+
+@pytest.mark.parametrize("lowest", [8, 5])
+def test_forest_finds_what_any_prefix_meets(spark, lowest):
+    draw = random.Random(lowest)
+    paths = []
+    for node in range(300):
+        stop = draw.choice([lowest, lowest, 7, 8]) if lowest < 7 else 8
+        paths += [(node, stop, draw.randrange(700), bytearray(
+            b for _ in range(8 - lowest) for b in (0, draw.randrange(2)))) for _ in range(3)]
+    schema = "node long, stop byte, low long, rest binary"
+    made = jaccard_join.forest(spark.createDataFrame(paths, schema), lowest)
+    assert {r.node: r.root for r in made.collect()} == plain_clusters(paths, lowest)
+    assert jaccard_join.forest(spark.createDataFrame([], schema), lowest).collect() == []
+
+
+def test_recall_at_the_threshold(spark):
+    """400 pairs of 90 and 81 shingles that share 76: a similarity of 0.8 exactly."""
+    rows = []
+    for i in range(400):
+        w = [f"p{i}x{k}" for k in range(94)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:80] + [f"n{i}x{k}" for k in range(5)]))]
+    want = plain(rows)
+    linked = sum(n > 0 for *_, n in want)
+    assert linked == 800
+    made = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_links > 0 for r in made) >= 0.99 * linked
+
+
 def test_block_products_equal_set_intersections(monkeypatch):
     monkeypatch.setattr(jaccard_join, "_COLUMNS", 7)
     draw = np.random.default_rng(3)
