@@ -2,16 +2,17 @@
 
 Documents with the same set of shingles are one class; everything after that is
 about classes. Each of ``TREES`` trees is a prefix trie of ``DEPTH`` MinHash values
-per class. The tries are matched from the whole paths upwards: a trie node that holds
-several clusters ties them to the smallest of their members, never all to each other,
-and connected ties make the clusters of the next, shorter prefix. How far that goes
-depends on what is there and what was found:
+per class. The tries are matched from the whole paths upwards: a trie node whose
+classes have several labels ties these to the smallest, never all to each other, and
+a class takes the smallest it is tied to as its label for the next, shorter prefix.
+Connected ties are the clusters. How far that goes depends on what is there and what
+was found:
 
 * a class takes part until the recall of a pair at the least similarity that its
   number of shingles allows reaches the target. A set too small for any partner
   takes no part, some small ones need whole paths only;
 * paths whose shortest prefix no other class has are left out before the first level;
-* paths whose shortest prefix lies within one cluster are settled and leave;
+* paths whose shortest prefix holds one label only are settled and leave;
 * the last prefix is the longest with the target recall at the threshold itself.
 
 So the pairs found are those of the shortest prefix, and the shorter a prefix gets,
@@ -261,23 +262,24 @@ def forest(paths: DataFrame, lowest: int) -> DataFrame:
     paths = write_stage(paths, "forest")
     met = paths.groupBy("low").agg(F.count("*").alias("m")).filter("m > 1").select("low")
     living = write_stage(paths.join(met, "low", "left_semi").withColumn("root", F.col("node")), "forest-living")
-    clusters = living.select("node", "root").limit(0)
+    edges = None
     for depth in range(DEPTH, lowest - 1, -1):
-        here = living.filter(F.col("stop") <= depth).select("root", F.xxhash64(
+        here = living.filter(F.col("stop") <= depth).select("node", "root", F.xxhash64(
             "low", F.substring("rest", 1, 2 * (depth - lowest))).alias("prefix"))
         parted = here.groupBy("prefix").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most")
         ties = write_stage(here.join(parted.select("prefix", "least"), "prefix").filter("root != least").select(
-            "root", "least").distinct(), "forest-ties")
-        if not ties.isEmpty():
-            known = clusters.filter("node != root").select("node", "root")
-            clusters = write_stage(components(ties.toDF("node", "root").unionByName(known), "node", "root"), "forest-clusters")
-            living = living.drop("root").join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            "node", "root", "least").distinct(), "forest-ties")
+        own = ties.select("root", "least").distinct()
+        edges = own if edges is None else edges.unionByName(own)
         if depth > lowest:
-            living = living.filter(F.col("stop") < depth)
+            moved = ties.groupBy("node").agg(F.min("least").alias("now"))
+            living = living.filter(F.col("stop") < depth).join(moved, "node", "left").select(
+                "node", "stop", "low", "rest", F.coalesce("now", "root").alias("root"))
+            living = write_stage(living, "forest-moved")
             parted = living.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(
                 "least != most").select("low")
-            living = write_stage(living.join(parted, "low", "left_semi"), "forest-living")
-    return clusters
+            living = living.join(parted, "low", "left_semi")
+    return components(edges, "root", "least")
 
 
 def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, target: float = 0.9999) -> DataFrame:
