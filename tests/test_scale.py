@@ -7,7 +7,10 @@ from tasteloom.functions.seeded import draw_int
 from tasteloom.operators import catalog as G
 from tasteloom.operators import commerce as O
 from tasteloom.operators import histories as H
+from tasteloom.operators import metrics as M
 from tasteloom.operators import popularity as P
+from tasteloom.plans import source_queries as Q
+from tasteloom.session import write_stage
 from tests.conftest import rows
 
 
@@ -75,3 +78,28 @@ def test_a_thousand_short_searches(frame, monkeypatch):
 def test_latency_of_a_hot_value(frame):
     log = frame([({"a": 5.0, "b": float(n)},) for n in range(100)] + [({"a": 9.0},)], "latency_ms map<string,double>")
     assert rows(O.latency_summary(log)) == [("a", 101, pytest.approx((500 + 9) / 101), 5.0), ("b", 100, 49.5, 94.0)]
+
+
+def test_repetitive_lists_are_not_broadcast_by_file_size(spark):
+    """A staged table of lists is far smaller than its rows; neither its join with the truth nor that of its users may broadcast it."""
+    recs = write_stage(spark.range(200_000).select(
+        (F.col("id") / 50).cast("bigint").alias("user_id"), (F.col("id") % 50).alias("item_id"), (F.col("id") % 50 + 1).cast("int").alias("rank")), "recs")
+    truth = spark.range(4000).select(F.col("id").alias("user_id"), (F.col("id") % 60).alias("item_id"))
+    scores = M.score_users(recs, truth, (10, 50))
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert scores.count() == 4000
+
+
+def test_saved_times_beyond_64_bits(spark, tmp_path):
+    """The sum of the times of a large split is no 64-bit number."""
+    day = 2**61
+    rows = spark.createDataFrame([(1, n, 5.0, day) for n in range(9)], "user_id bigint, item_id bigint, rating double, ts bigint")
+
+    class Small:
+        train, val, test, items = rows, rows.limit(0), rows.limit(0), rows.select("item_id")
+
+    w = Small()
+    w.spark = spark
+    got = {r["split"]: (r["n_rows"], r["ts_sum"]) for r in Q.saved_split_sums(w).collect()}
+    assert got == {"train": (9, float(9 * day)), "val": (0, None), "test": (0, None), "items": (9, 36.0)}
