@@ -87,12 +87,13 @@ def _saved_split(w):
 @query("write_split", """
 SELECT split, count(*) AS n_rows, CAST(sum(ts) AS DOUBLE) AS ts_sum FROM labelled GROUP BY split
 UNION ALL SELECT 'items', count(*), CAST(sum(item_id) AS DOUBLE) FROM items""")
-def _(w):
+def saved_split_sums(w):
     parts = _saved_split(w)
     out = None
     for name in ("train", "val", "test", "items"):
         key = "item_id" if name == "items" else "ts"
-        row = parts[name].agg(F.count("*").alias("n_rows"), F.sum(key).cast("double").alias("ts_sum")).select(
+        total = F.sum(F.col(key).cast("decimal(20,0)"))    # beyond 10 million rows the times do not add up in 64 bits
+        row = parts[name].agg(F.count("*").alias("n_rows"), total.cast("double").alias("ts_sum")).select(
             F.lit(name).alias("split"), "n_rows", "ts_sum"
         )
         out = row if out is None else out.unionByName(row)
