@@ -59,3 +59,34 @@ def test_retrieve_then_filter_may_fall_short(vectors, frame):
     got = R.recommend_from_vectors(udf, idf, seen, n=3, retrieve=4, normalize=False)
     counts = {r["user_id"]: r["count"] for r in got.groupBy("user_id").count().collect()}
     assert "u000" not in counts and set(counts.values()) == {3}
+
+
+def test_single_precision_finds_what_double_precision_ranks():
+    """Scores closer than single precision tells apart, ties, and lists longer than a group's maxima allow."""
+    rng = np.random.default_rng(8)
+    items = np.repeat(rng.normal(size=(90, 16)), 20, axis=0) * (1 + 1e-8 * rng.integers(0, 9, size=(1800, 1)))
+    queries = rng.normal(size=(30, 16))
+    scores = np.round(np.einsum("qd,id->qi", queries, items), 9)
+    for n in (1, 15, 50, 400, 5000):
+        rows_, cols, vals = R.best_of_block(queries, items, n, 1 << 16)
+        want = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        assert (cols.reshape(30, -1) == want).all() and (vals.reshape(30, -1) == np.take_along_axis(scores, want, 1)).all()
+    assert len(R._hopeful(queries.astype("f"), items.astype("f"), 15, np.zeros(30))[0]) < 30 * 60
+
+
+def test_tasks_hold_a_bounded_number_of_pairs(vectors, monkeypatch):
+    users, items, udf, idf = vectors
+    monkeypatch.setattr(R, "_FEW_ITEMS", 10)
+    monkeypatch.setattr(R, "_TASK_PAIRS", 240)
+    got = R.topn_inner_product(udf, idf, 5)
+    assert got.rdd.getNumPartitions() == 20
+    assert rows(got, "user_id", "item_id", "rank") == brute(users, items, 5)
+
+
+def test_blocks_are_as_large_as_their_memory(vectors):
+    """120 items in blocks of 16 by the bytes of a task, and in one block, where the setting alone would make blocks of one or two."""
+    users, items, udf, idf = vectors
+    for bytes_, vectors_a_block in ((16 * 8 * 16, 1), (1 << 20, 2)):
+        opts = replace(DEFAULTS, broadcast_bytes=0, vector_block=vectors_a_block, score_bytes=bytes_)
+        got = R.topn_inner_product(udf, idf, 5, opts=opts)
+        assert rows(got, "user_id", "item_id", "rank") == brute(users, items, 5)
