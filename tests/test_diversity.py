@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tasteloom.config import DEFAULTS
 from tasteloom.operators import diversity as D
 from tests.conftest import rows
 
@@ -91,3 +92,21 @@ def test_mmr_with_joined_vectors_equals_broadcast_ones(lists, frame):
     a = D.mmr_rerank(both, vectors, 4, (0.7, 0.3))
     b = D.mmr_rerank(both, vectors, 4, (0.7, 0.3), replace(DEFAULTS, broadcast_bytes=0))
     assert rows(a) == rows(b) and rows(a.where("user_id = 999 AND lambda = 0.7"), "item_id") == [(100_000 + n,) for n in range(4)]
+
+
+def test_similarity_without_vectors_in_the_lists(spark):
+    """Lists meet a broadcast table by id; repeated ids, unknown ids and null vectors count as in a join."""
+    from dataclasses import replace
+
+    vectors = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, 2.0]), (2, [3.0, 3.0]), (3, [1.0, 1.0]), (4, None), (5, None), (None, [1.0, 1.0])],
+        "item_id bigint, vec array<float>")
+    lists = spark.createDataFrame(
+        [(u, i) for u, ids in {"a": [1, 2, 3], "b": [1, 1, 9], "c": [4, 5], "d": [1], "e": [9, 8], "f": [3, 4, None], None: [1, 3]}.items() for i in ids],
+        "user_id string, item_id bigint")
+    got = {r["user_id"]: r for r in D.list_similarity(lists, vectors).collect()}
+    want = {r["user_id"]: r for r in D.list_similarity(lists, vectors, opts=replace(DEFAULTS, broadcast_bytes=0)).collect()}
+    assert set(got) == set(want) == {"a", "b", "c", "f", None}
+    for u, r in want.items():
+        assert got[u]["n"] == r["n"] and got[u]["similarity"] == (None if r["similarity"] is None else pytest.approx(r["similarity"]))
+    assert "Join" not in D.list_similarity(lists, vectors)._jdf.queryExecution().executedPlan().toString()
