@@ -132,3 +132,28 @@ def test_steps_follow_samples_not_shards(encoded):
     assert 6 <= model.history[0]["steps"] / 2 <= 12      # two rounds of some 330 samples in one or two shards
     with pytest.raises(ValueError):
         T.two_tower_fit(encoded.limit(0), 60)
+
+
+def test_shards_of_one_task_share_their_start(spark, monkeypatch):
+    """Three shards a task give what one shard a task gives; a row goes the mean of the ways of its shards."""
+    triplets = spark.range(400).selectExpr("id AS t", "cast(id % 9 AS int) AS u", "cast(id % 7 AS int) AS i", "cast(id % 5 + 7 AS int) AS j")
+    users, items = B.init_factors(spark, 10, 13, 4)
+    monkeypatch.setattr(B, "_SHARD_TRIPLETS", 50)
+    made = []
+    for shared in (0, 1 << 20):
+        monkeypatch.setattr(B, "_GROUP_BYTES", shared)
+        u, i, loss = B.bpr_round(triplets, users, items, 4, batch_size=8)
+        made.append(({r["u"]: r["vec"] for r in u.collect()}, {r["i"]: r["vec"] for r in i.collect()}, loss))
+    for a, b in zip(made[0][:2], made[1][:2]):
+        assert set(a) == set(b) and all(np.allclose(a[k], b[k], atol=1e-12) for k in a)
+    assert made[0][2] == pytest.approx(made[1][2])
+
+
+def test_neighbouring_windows_share_a_shard(spark):
+    """20 users of 200 rows with items of their own: a shard needs an item once, not each item in nearly every shard."""
+    samples = spark.range(4000).selectExpr(
+        "cast(id / 200 AS int) AS u", "id % 200 AS pos", "transform(sequence(1, 20), k -> cast(id + k AS int)) AS history", "cast(id AS int) AS target")
+    dealt = T._dealt(samples, 8, "s")
+    assert dealt.count() == 4000 and dealt.select("shard").distinct().count() > 3
+    needed = dealt.selectExpr("shard", "explode(array_union(history, array(target))) AS i").distinct().count()
+    assert needed < 1.2 * 4020
