@@ -153,7 +153,9 @@ def test_neighbouring_windows_share_a_shard(spark):
     """20 users of 200 rows with items of their own: a shard needs an item once, not each item in nearly every shard."""
     samples = spark.range(4000).selectExpr(
         "cast(id / 200 AS int) AS u", "id % 200 AS pos", "transform(sequence(1, 20), k -> cast(id + k AS int)) AS history", "cast(id AS int) AS target")
-    dealt = T._dealt(samples, 8, "s")
-    assert dealt.count() == 4000 and dealt.select("shard").distinct().count() > 3
+    dealt = T._dealt(samples, 8, "s", 20)
+    assert dealt.count() == 4000 and dealt.select("shard").distinct().count() == 8
     needed = dealt.selectExpr("shard", "explode(array_union(history, array(target))) AS i").distinct().count()
-    assert needed < 1.2 * 4020
+    assert needed < 2.2 * 4020
+    met = dealt.groupBy("shard", "turn", (F.col("target") / 20).cast("int")).count()
+    assert met.where("count > 1").isEmpty()
