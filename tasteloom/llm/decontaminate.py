@@ -13,8 +13,6 @@ it occurs. All of it is DataFrame functions.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,24 +43,21 @@ def simhash(words: Column) -> Column:
 
     The votes for bits k and k + 32 are counted in the two halves of one number.
     """
-    def votes(hashes: Column, k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("bigint"),
-                           lambda total, h: total + F.shiftrightunsigned(h, k).bitwiseAND(0x0000000100000001))
+    def votes(hashes: Column, k: Column) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda total, h: total + F.call_function(
+            "shiftrightunsigned", h, k).bitwiseAND(0x0000000100000001))
 
+    places = F.sequence(F.lit(0), F.lit(31))
     lanes = F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))),
-                        lambda hashes: F.array(*(votes(hashes, k) for k in range(32))))[0]
+                        lambda hashes: F.transform(places, lambda k: F.struct(k.alias("k"), votes(hashes, k).alias("lane"))))[0]
     half = F.size(words).cast("bigint")
 
-    def bits(own: Column) -> Column:
-        low, high = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-        for k in range(32):
-            lane = own[k]
-            low = low.bitwiseOR(F.when(lane.bitwiseAND(0xFFFFFFFF) * 2 > half, F.lit(1 << k)).otherwise(F.lit(0)))
-            bit = (1 << (k + 32)) - (1 << 64 if k == 31 else 0)
-            high = high.bitwiseOR(F.when(F.shiftrightunsigned(lane, 32) * 2 > half, F.lit(bit)).otherwise(F.lit(0)))
-        return low.bitwiseOR(high)
+    def bit(won: Column, k: Column) -> Column:
+        return F.when(won, F.call_function("shiftleft", F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint"))
 
-    return F.transform(F.array(lanes), bits)[0].cast("bigint")
+    return F.aggregate(lanes, F.lit(0).cast("bigint"), lambda total, v: total.bitwiseOR(
+        bit(v["lane"].bitwiseAND(0xFFFFFFFF) * 2 > half, v["k"])).bitwiseOR(
+        bit(F.shiftrightunsigned(v["lane"], 32) * 2 > half, v["k"] + 32)))
 
 
 def _block_bounds() -> list[tuple[int, int]]:
@@ -72,12 +67,12 @@ def _block_bounds() -> list[tuple[int, int]]:
 
 def block_keys(fingerprint: Column, flips: int) -> Column:
     """Array of (block, value): each block's value, with all changes of up to ``flips`` bits."""
-    keys = []
-    for block, (low, high) in enumerate(_block_bounds()):
+    def changed(block: int, low: int, high: int) -> Column:
         value = F.shiftrightunsigned(fingerprint, low).bitwiseAND((1 << (high - low)) - 1)
-        masks = [sum(1 << b for b in chosen) for r in range(flips + 1) for chosen in combinations(range(high - low), r)]
-        keys += [F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m).alias("value")) for m in masks]
-    return F.array(*keys)
+        masks = F.filter(F.sequence(F.lit(0).cast("bigint"), F.lit((1 << (high - low)) - 1).cast("bigint")), lambda m: F.bit_count(m) <= flips)
+        return F.transform(masks, lambda m: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m).alias("value")))
+
+    return F.concat(*(changed(block, low, high) for block, (low, high) in enumerate(_block_bounds())))
 
 
 def near_fingerprints(left: DataFrame, right: DataFrame, radius: int = 11) -> DataFrame:

@@ -117,3 +117,21 @@ def test_passages_cut_at_an_end(spark):
     got = {(r.doc_id, r.item_id) for r in decontaminate.find(
         spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert len(got & {(i, i) for i in range(400)}) >= 397
+
+
+def test_fingerprints_are_short_expressions(spark):
+    """The driver plans these expressions anew for every step: they have a loop for bits and changes, not a branch for each."""
+    draw = random.Random(9)
+    rows = [(n, [f"w{draw.randrange(40)}" for _ in range(n)]) for n in range(25)]
+    docs = spark.createDataFrame(rows, "n bigint, w array<string>")
+    made = docs.select("n", F.transform("w", lambda w: F.xxhash64(w)).alias("hashes"), decontaminate.simhash(F.col("w")).alias("fp"))
+    for r in made.withColumn("keys", decontaminate.block_keys(F.col("fp"), 2)).collect():
+        votes = [sum(h >> k & 1 for h in r.hashes) for k in range(64)]
+        fp = sum(1 << k for k in range(64) if 2 * votes[k] > r.n)
+        assert r.fp % (1 << 64) == fp
+        want = []
+        for block, (low, high) in enumerate(decontaminate._block_bounds()):
+            value = fp >> low & (1 << high - low) - 1
+            want += [(block, value ^ m) for m in range(1 << high - low) if m.bit_count() <= 2]
+        assert Counter(map(tuple, r["keys"])) == Counter(want)
+    assert len(str(decontaminate.simhash(F.col("w")))) + len(str(decontaminate.block_keys(F.col("fp"), 2))) < 5_000
