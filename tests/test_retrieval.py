@@ -90,3 +90,40 @@ def test_blocks_are_as_large_as_their_memory(vectors):
         opts = replace(DEFAULTS, broadcast_bytes=0, vector_block=vectors_a_block, score_bytes=bytes_)
         got = R.topn_inner_product(udf, idf, 5, opts=opts)
         assert rows(got, "user_id", "item_id", "rank") == brute(users, items, 5)
+
+
+@pytest.mark.parametrize("items", ["drawn", "rising", "copies", "one"])
+def test_tiles_against_plain(items, monkeypatch):
+    """Tiles with a rest, items that get better and better, copies, and nothing but copies."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(5003, 6))
+    if items == "rising":
+        vectors = vectors[np.argsort(vectors[:, 0])]
+    elif items == "copies":
+        vectors = np.tile(vectors[:500], (10, 1))
+    elif items == "one":
+        vectors = np.repeat(vectors[:1], 5003, axis=0)
+    queries = rng.normal(size=(30, 6)) + 3 * (items == "rising") * np.eye(6)[0]
+    monkeypatch.setattr(R, "_RANKED_AT_ONCE", 100)
+    for n in (1, 20, 100):
+        for crowded in (1, 16):
+            monkeypatch.setattr(R, "_CROWDED", crowded)
+            got, want = R.best_of_block(queries, vectors, n, 1 << 20), R._best_plain(queries, vectors, n, 30)
+            assert all(np.array_equal(g, w) for g, w in zip(got, want))
+
+
+def test_seen_items_leave_before_any_shuffle(spark, vectors):
+    users, items, udf, idf = vectors
+    idf = idf.unionByName(idf.where("item_id = 'i005'"))  # an id may come twice
+    seen = spark.createDataFrame([(f"u{u:03d}", f"i{i:03d}") for u in range(0, 40, 2) for i in range(u, 120, 3)]
+                                 + [("u001", None), (None, "i001"), ("u003", "elsewhere")], "user_id string, item_id string")
+    got = R.recommend_from_vectors(udf, idf, seen, n=6, retrieve=20, normalize=False)
+    taken = {(r.user_id, r.item_id) for r in seen.collect()}
+    want = []
+    for user in range(40):
+        ranked = sorted([*range(120), 5], key=lambda i: (-round(float(users[user] @ items[i]), 9), i))[:20]
+        fresh = [i for i in ranked if (f"u{user:03d}", f"i{i:03d}") not in taken][:6]
+        want += [(f"u{user:03d}", f"i{i:03d}", r) for r, i in enumerate(fresh, 1)]
+    assert rows(got, "user_id", "item_id", "rank") == sorted(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("MapInArrow")] and "Window" not in plan
