@@ -127,3 +127,16 @@ def test_seen_items_leave_before_any_shuffle(spark, vectors):
     assert rows(got, "user_id", "item_id", "rank") == sorted(want)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("MapInArrow")] and "Window" not in plan
+
+
+def test_parts_of_the_items_agree(vectors):
+    """Beyond the broadcast bound: lists of parts are carried on, not shuffled."""
+    users, items, udf, idf = vectors
+    opts = replace(DEFAULTS, broadcast_bytes=120 * 8 * 8 // 3)
+    for n in (1, 5, 200):
+        got = R.topn_inner_product(udf, idf, n, opts=opts)
+        assert rows(got, "user_id", "item_id", "rank") == brute(users, items, n)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    seen = udf.select("user_id").crossJoin(idf.where("item_id < 'i060'").select("item_id"))
+    few = R.recommend_from_vectors(udf, idf, seen, 5, 20, opts=opts)
+    assert rows(few) == rows(R.recommend_from_vectors(udf, idf, seen, 5, 20))
