@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tasteloom.config import DEFAULTS
+from tasteloom.operators import histories as H
 from tasteloom.operators import retrieval as R
 from tests.conftest import rows
 
@@ -140,3 +141,29 @@ def test_parts_of_the_items_agree(vectors):
     seen = udf.select("user_id").crossJoin(idf.where("item_id < 'i060'").select("item_id"))
     few = R.recommend_from_vectors(udf, idf, seen, 5, 20, opts=opts)
     assert rows(few) == rows(R.recommend_from_vectors(udf, idf, seen, 5, 20))
+
+
+def test_seen_items_without_vector_are_never_shuffled(spark, vectors):
+    """They leave where they are read, before they are made distinct; the ids are within the broadcast bound."""
+    _users, _items, udf, idf = vectors
+    log = spark.createDataFrame([(f"u{n % 40:03d}", f"x{n}") for n in range(200)] + [("u001", "i001")] * 3, "user_id string, item_id string")
+    listed = log.select("user_id", "item_id").distinct().join(R._ids_of(idf), "item_id", "left_semi")
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+    assert rows(listed, "user_id", "item_id") == [("u001", "i001")]
+
+
+def test_pooled_history_stays_with_its_user(spark, vectors):
+    """Vectors within the bound are broadcast, so their sums are not shuffled; beyond it, the same means."""
+    _users, items, _udf, idf = vectors
+    log = spark.createDataFrame([(u, f"i{(7 * u + n) % 130:03d}", n) for u in range(9) for n in range(30)],
+                                "user_id bigint, item_id string, ts bigint")
+    recent = H.recent_rows(log)
+    pooled = H.mean_pool(recent, idf, 8)
+    plan = pooled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # of the log, by user
+    apart = H.mean_pool(recent, idf, 8, replace(DEFAULTS, broadcast_bytes=0))
+    for got in (pooled, apart):
+        for row in got.collect():
+            own = [(7 * row.user_id + n) % 130 for n in range(10, 30)]
+            assert np.allclose(row.vec, items[[i for i in own if i < 120]].mean(axis=0))
