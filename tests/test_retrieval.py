@@ -147,12 +147,27 @@ def test_seen_items_without_vector_are_never_shuffled(spark, vectors):
     """They leave where they are read, before they are made distinct; the ids are within the broadcast bound."""
     _users, _items, udf, idf = vectors
     log = spark.createDataFrame([(f"u{n % 40:03d}", f"x{n}") for n in range(200)] + [("u001", "i001")] * 3, "user_id string, item_id string")
-    listed = log.select("user_id", "item_id").distinct().join(R._ids_of(idf), "item_id", "left_semi")
+    listed = log.select("user_id", "item_id").distinct().join(R._ids_of(idf, 120, DEFAULTS), "item_id", "left_semi")
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
     assert rows(listed, "user_id", "item_id") == [("u001", "i001")]
 
 
+def test_seen_items_leave_lists_of_parts_without_a_shuffle(spark, vectors):
+    """Beyond the broadcast bound, with a user who has seen a whole list, null and unknown ids, and an id twice."""
+    _users, _items, udf, idf = vectors
+    idf = idf.unionByName(idf.where("item_id = 'i005'"))
+    seen = spark.createDataFrame([(f"u{u:03d}", f"i{i:03d}") for u in range(0, 40, 2) for i in range(u, 120, 3)]
+                                 + [("u001", f"i{i:03d}") for i in range(120)]
+                                 + [("u003", None), (None, "i001"), ("u003", "elsewhere")], "user_id string, item_id string")
+    opts = replace(DEFAULTS, broadcast_bytes=120 * 8 * 8 // 3)
+    got = R.recommend_from_vectors(udf, idf, seen, 6, 20, opts=opts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    found = rows(got)
+    assert found == rows(R.recommend_from_vectors(udf, idf, seen, 6, 20)) and "u001" not in {r[0] for r in found}
+
+
 def test_pooled_history_stays_with_its_user(spark, vectors):
     """Vectors within the bound are broadcast, so their sums are not shuffled; beyond it, the same means."""
     _users, items, _udf, idf = vectors
