@@ -159,3 +159,15 @@ def test_neighbouring_windows_share_a_shard(spark):
     assert needed < 2.2 * 4020
     met = dealt.groupBy("shard", "turn", (F.col("target") / 20).cast("int")).count()
     assert met.where("count > 1").isEmpty()
+
+
+def test_the_fitted_towers_are_whole(spark, encoded, monkeypatch):
+    """The query fits the published towers: 64 places, 128 hidden units, ten epochs."""
+    from tasteloom.plans import registry
+    from tasteloom.plans import training_queries as Q
+
+    fit, made = T.two_tower_fit, []
+    monkeypatch.setattr(Q, "encoded", lambda _w: (encoded, None, spark.range(60)))
+    monkeypatch.setattr(T, "two_tower_fit", lambda *a, **k: made.append(fit(*a, **k)) or made[-1])
+    assert registry.QUERIES["two_tower_fit"](spark, "/nowhere").count() == 10
+    assert (made[0].weights.dim, made[0].weights.hidden) == (64, 128)
