@@ -142,3 +142,42 @@ def test_sketches_of_active_users_are_close(spark):
     close = dict(rows(S.drain(S.active_users_sketch(stream[1]), "close")))
     assert exact.keys() == close.keys() and max(exact.values()) > 3000
     assert all(abs(close[k] - v) <= 0.02 * v + 1 for k, v in exact.items())
+
+
+def test_one_call_folds_the_carts_of_many_users():
+    """A call per user and share took most of the time: a home's carts come in one, each read and written once at most."""
+    import pandas as pd
+
+    from tasteloom.streaming.keyed import CartLines
+
+    class Carts(dict):
+        reads, writes = 0, 0
+
+        def getMapState(self, *_):
+            return self
+
+        def getValue(self, key):
+            self.reads += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self.writes += 1
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+    carts, fold = Carts(), CartLines("int", "int")
+    fold.init(carts)
+
+    def call(*made):
+        frame = pd.DataFrame(made, columns=["user_id", "share", "item_id", "action", "qty", "ts", "seq"])
+        return sorted(tuple(r) for out in fold.handleInputRows((0,), iter([frame]), None) for r in out.itertuples(index=False))
+
+    got = call(*((u, 0, i, "add", None, 10 * u + i, 0) for i in (1, 0) for u in range(500)))
+    assert got == [(u, i, 1, 10 * u + i, True) for u in range(500) for i in (0, 1)]
+    assert (carts.reads, carts.writes) == (500, 500)
+    got = call((7, 0, 1, "add", None, 9000, 3), (8, 0, None, "checkout", None, 9000, 4), (9, 0, 1, "set", 0, 9000, 5),
+               (9, 0, 5, "remove", None, 9000, 6), (10, 0, 1, "set", 1, 9000, 7), (8, 0, 2, "add", None, 9001, 8))
+    assert got == [(7, 1, 2, 71, True), (8, 0, 0, 0, False), (8, 1, 0, 0, False), (8, 2, 1, 9001, True), (9, 1, 0, 0, False)]
+    assert (carts.reads, carts.writes) == (504, 503) and call((3, 0, None, "checkout", None, 1, 1))[0][:2] == (3, 0) and (3, 0) not in carts
