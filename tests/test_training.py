@@ -171,3 +171,16 @@ def test_the_fitted_towers_are_whole(spark, encoded, monkeypatch):
     monkeypatch.setattr(T, "two_tower_fit", lambda *a, **k: made.append(fit(*a, **k)) or made[-1])
     assert registry.QUERIES["two_tower_fit"](spark, "/nowhere").count() == 10
     assert (made[0].weights.dim, made[0].weights.hidden) == (64, 128)
+
+
+def test_rounds_follow_the_table_not_the_epoch(spark, encoded, monkeypatch):
+    """Shards of an epoch that get more rows than a round may move take several rounds; all draws are used, once."""
+    assert B.rounds_within(31, 16384 * 2.25, 20_000, 192, 8) == 1
+    assert B.rounds_within(1813, 16384 * 2.25, 1_200_000, 192, 8) > 20
+    assert B.rounds_within(18130, 16384 * 2.25, 12_000_000, 192, 8) < 40      # ten times the rows and the table
+    assert B.rounds_within(1813, 16384 * 2.25, 1_200_000, 192, 400) <= 5      # each round still has a shard for every core
+    bpr_round, drawn = B.bpr_round, []
+    monkeypatch.setattr(B, "rounds_within", lambda *a: 4)
+    monkeypatch.setattr(B, "bpr_round", lambda some, *a: (drawn.append([r["t"] for r in some.select("t").collect()]), bpr_round(some, *a))[1])
+    model = B.mf_bpr_fit(encoded, 60, 60, dim=4, epochs=1, triplets_per_epoch=1000, batch_size=16)
+    assert len(drawn) == 4 and sorted(t for some in drawn for t in some) == list(range(1000)) and model.items.count() == 60
