@@ -184,3 +184,17 @@ def test_rounds_follow_the_table_not_the_epoch(spark, encoded, monkeypatch):
     monkeypatch.setattr(B, "bpr_round", lambda some, *a: (drawn.append([r["t"] for r in some.select("t").collect()]), bpr_round(some, *a))[1])
     model = B.mf_bpr_fit(encoded, 60, 60, dim=4, epochs=1, triplets_per_epoch=1000, batch_size=16)
     assert len(drawn) == 4 and sorted(t for some in drawn for t in some) == list(range(1000)) and model.items.count() == 60
+
+
+def test_tower_rounds_use_every_sample_and_leave_no_stage(spark, encoded, monkeypatch):
+    """Each epoch's samples are dealt to the rounds once, and what was dealt is deleted with its folders."""
+    def there(file):
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+    tower_round, drop, seen, kept = T.tower_round, T.drop_stage, [], []
+    monkeypatch.setattr(T, "rounds_within", lambda *a: 3)
+    monkeypatch.setattr(T, "tower_round", lambda some, *a: (seen.extend(tuple(r) for r in some.select("u", "pos").collect()), tower_round(some, *a))[1])
+    monkeypatch.setattr(T, "drop_stage", lambda df: (drop(df), kept.extend(f for f in df.inputFiles() if there(f))))
+    model = T.two_tower_fit(encoded, 60, dim=4, hidden=4, epochs=2, batch_size=20, shard_samples=50)
+    assert len(model.history) == 2 and sorted(seen) == sorted(2 * [(u, p) for u in range(60) for p in range(1, 12)]) and not kept
