@@ -46,6 +46,18 @@ def test_ivf_with_all_probes_is_exact(vectors):
     assert 0.4 < hit <= 1
 
 
+def test_small_cells_are_searched_without_a_shuffle_of_lists(vectors):
+    """Within the broadcast bound no query is copied to its cells; the lists are those of the grid, ties included."""
+    _users, _items, udf, idf = vectors
+    cells = R.train_cells(idf, 6)
+    for n, nprobe in ((10, 3), (200, 6)):
+        near = R.topn_ivf(udf, idf, cells, n, nprobe=nprobe)
+        grid = R.topn_ivf(udf, idf, cells, n, nprobe=nprobe, opts=replace(DEFAULTS, broadcast_bytes=0, vector_block=7))
+        assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+        got, want = (rows(x, "user_id", "rank", "item_id", "score") for x in (near, grid))
+        assert got == want and got
+
+
 def test_similar_excludes_itself_and_unknown_is_empty(vectors, frame):
     _users, items, _udf, idf = vectors
     found = R.similar_items(idf, 3, frame([("i003",), ("nope",)], "item_id string"))
